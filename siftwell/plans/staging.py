@@ -12,7 +12,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+_UNKNOWN = 1 << 56
 _STAGED: list[tuple[SparkSession, str]] = []
 
 
@@ -51,8 +53,14 @@ def release() -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df``, which for file sources is the size of the files; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size estimate of ``df``, which for file sources is the size of the files; no job runs.
+
+    Where the plan has no estimate, the rows are measured.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < _UNKNOWN:
+        return estimate
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
 
 
 def partitions_for(df: DataFrame, bytes_each: int, least: int | None = None) -> int:
