@@ -59,7 +59,7 @@ def _number(key: bytes, *parts: object) -> int:
 def permuted(value: int, size: int, key: bytes, label: str) -> int:
     """A keyed permutation of range(size): Feistel rounds on an even number of bits, walked back into the range.
 
-    A fixed point is exchanged with its successor's image, so that no value stays what it is.
+    Each run of fixed points, with the value after it, is shifted by one place first, so that no value stays what it is.
     """
     if size < 2:
         return value
@@ -78,8 +78,10 @@ def permuted(value: int, size: int, key: bytes, label: str) -> int:
     out = walk(value)
     if out == value:
         return walk((value + 1) % size)
-    before = (value - 1) % size
-    return before if walk(before) == before else out
+    first = value
+    while walk((first - 1) % size) == (first - 1) % size:
+        first = (first - 1) % size
+    return out if first == value else first
 
 
 _CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
