@@ -1,8 +1,9 @@
 """Quality classifier: document evidence combined with host and path posteriors by hierarchical empirical Bayes.
 
 1. A logistic regression on the counts of the quality rules (rates of symbols, bars, capitals, repeats, ...) gives each
-   document a probability of being good. It is fitted on the labelled rows, of which at most ``max_fit_rows`` with the
-   smallest id hashes are used; that is the only bounded sample.
+   document a probability of being good. It is fitted on labelled rows, at most ``max_fit_rows``: they are counted by
+   hash bucket, and buckets are taken in order as far as they fit whole, so that is all that reaches the driver. It is
+   the only bounded sample.
 2. The document's evidence is its log odds less those of the fitting sample.
 3. Hosts and paths: expected good documents and documents are summed by host and by (host, path). Between-group variance
    gives the strength of each level's Beta prior (method of moments): a host shrinks toward the global mean, a path
@@ -20,7 +21,10 @@ are scored as often as they occur. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,7 @@ from siftwell.llm.tables import table
 from siftwell.plans.staging import stage
 
 MAX_FIT_ROWS = 50_000
+FIT_BUCKETS = 1 << 14
 RIDGE = 1.0
 KEEP = 0.3
 LIMITS = (2.0, 1e5)
@@ -71,12 +76,29 @@ def _strength(between: float, within_mean: float) -> float:
     return float(np.clip(within_mean * (1 - within_mean) / between - 1, *LIMITS))
 
 
+def fitting_sample(labelled: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> pd.DataFrame:
+    """Rows of whole hash buckets, at most ``max_fit_rows``, in an order that does not depend on tasks.
+
+    The more rows there are, the finer the buckets: always the first ``FIT_BUCKETS`` hold about as many rows as fit.
+    """
+    columns = [*FEATURES, "quality"]
+    buckets = FIT_BUCKETS * max(1, math.ceil(labelled.count() / max_fit_rows))
+    bucketed = labelled.withColumn("bucket", F.pmod(F.xxhash64("doc_id", *columns), F.lit(buckets))).where(F.col("bucket") < FIT_BUCKETS)
+    left, taken = max_fit_rows, []
+    for bucket, n in sorted(map(tuple, bucketed.groupBy("bucket").count().collect())):
+        if n <= left:
+            left -= n
+            taken.append(bucket)
+    rows = bucketed.where(f"bucket IN ({', '.join(map(str, taken)) or 'NULL'})").select(*columns).toPandas()
+    return rows.sort_values(columns, ignore_index=True)
+
+
 def classify(docs: DataFrame, labels: DataFrame, host: Column | str = "source", path: Column | str = "lang", keep: float = KEEP, max_fit_rows: int = MAX_FIT_ROWS, **columns) -> DataFrame:
     """A row for each row: doc_id, host, path, document_probability, host_posterior, path_posterior, posterior, kept."""
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
     rows = features(docs, as_column(host), as_column(path), **columns)
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    sample = rows.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_fit_rows).select(*FEATURES, "quality").toPandas()
+    sample = fitting_sample(stage(rows.join(known, "doc_id").select("doc_id", *FEATURES, "quality"), "labelled"), max_fit_rows)
     good = sample["quality"].to_numpy(dtype=float)
     if len(good) and 0 < good.mean() < 1:
         centre, scale, weights = fit(sample[list(FEATURES)].to_numpy(dtype=float), good)

@@ -100,6 +100,14 @@ def test_quality_classifier(docs, none, labels):
     assert quality_classifier.classify(docs, labels.limit(0)).count() == len(ROWS)
 
 
+@pytest.mark.parametrize("bound", [7, 100, 1000])
+def test_fitting_sample_is_bounded_and_repeats(spark, bound):
+    rows = spark.range(300).selectExpr("id AS doc_id", *[f"CAST(id % 13 AS double) AS {f}" for f in quality_classifier.FEATURES], "id % 2 AS quality")
+    got = quality_classifier.fitting_sample(rows, bound)
+    assert len(got) <= bound and len(got) >= min(bound, 300) * 0.3
+    assert got.equals(quality_classifier.fitting_sample(rows.repartition(5), bound))
+
+
 def test_pii(docs, none):
     got = pii.pseudonymize(docs).collect()
     assert len(got) == len(ROWS)
