@@ -10,8 +10,9 @@ smallest min-hash values of each item. If a document holds ``threshold`` of an i
 negatives, whatever the lengths. Each document is probed with every rolling window, whole; candidates are then verified
 on the words themselves. Documents with fewer words than a partition's least match are not probed for it.
 
-The benchmark is the query set. It is read in blocks of at most ``block_items`` items, the documents once per block, so
-what is sent to executors has a bound that does not depend on the tables.
+The benchmark is the query set. It is read in blocks of at most ``block_items`` items and ``block_bytes`` bytes (a longer
+item is a block of its own), the documents once per block, so what is sent to executors has a bound that does not depend
+on the tables.
 
 Null or empty texts, and items without words, match nothing. Repeated document rows give repeated result rows; an item
 id that occurs with several texts is searched for with each. A null id stays null in the result. Extra columns of either
@@ -35,6 +36,7 @@ from siftwell.llm.tables import fresh, table, text_or_empty
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 16 << 20
 _WORD = re.compile(r"[a-z0-9\x80-\U0010ffff]+")
 
 
@@ -124,6 +126,7 @@ def contaminated(
     threshold: float = THRESHOLD,
     shingle_words: int = SHINGLE_WORDS,
     block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -133,7 +136,7 @@ def contaminated(
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     schema = "doc_id long, item_id long, n_shingles long, n_found long, containment double"
     parts = []
-    for block in _blocks(items, block_items):
+    for block in _blocks(items, block_items, block_bytes):
         sent = spark.sparkContext.broadcast(Sketches(block, threshold, shingle_words))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -162,14 +165,17 @@ def contaminated(
     return out
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int | None, str | None]]]:
+def _blocks(items: DataFrame, most_items: int, most_bytes: int) -> Iterator[list[tuple[int | None, str | None]]]:
     """The items a block at a time; the driver holds one block."""
     block: list[tuple[int | None, str | None]] = []
+    held = 0
     for row in items.toLocalIterator():
-        block.append((row[0], row[1]))
-        if len(block) == size:
+        width = len((row[1] or "").encode())
+        if block and (len(block) == most_items or held + width > most_bytes):
             yield block
-            block = []
+            block, held = [], 0
+        block.append((row[0], row[1]))
+        held += width
     if block:
         yield block
 

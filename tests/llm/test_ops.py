@@ -70,8 +70,8 @@ def test_decontamination(spark, docs, none):
                 if n >= 0.8 * len(want):
                     expected.append((doc_id, item_id, len(want), n, n / len(want)))
     assert len(expected) > 3
-    for block in (2, 100):
-        assert sorted_rows(decontamination.contaminated(docs, benchmark, block_items=block)) == sorted(expected, key=repr)
+    for bounds in ({"block_items": 2}, {"block_bytes": 50}, {}):
+        assert sorted_rows(decontamination.contaminated(docs, benchmark, **bounds)) == sorted(expected, key=repr)
     assert decontamination.contaminated(none, benchmark).count() == 0
     assert decontamination.contaminated(docs, benchmark.limit(0)).count() == 0
     left = decontamination.decontaminate(docs, benchmark)
