@@ -14,7 +14,8 @@ bits add up, a pair over the budget is pruned, and pairs of few leaves are settl
 spanning forest of what it linked, not its pairs; components over the forests give the groups.
 
 Null texts count as empty; null ids take part, and a component's id is its smallest id that is not null. Repeated rows
-give repeated result rows. Extra columns are ignored by ``near_duplicates`` and kept by ``keep_one``.
+give repeated result rows. Extra columns are ignored by ``near_duplicates`` and
+``near_copies`` and kept by ``keep_one``, which takes five words and a verified similarity of 0.8.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import words as W
+from siftwell.llm.resemblance import SKETCHED, similar_pairs, sketches
 from siftwell.llm.tables import fresh, table, text_or_empty
 from siftwell.operators.graph import connected_components
 from siftwell.plans.staging import stage
 
 SHINGLE_WORDS = 4
+STAGE_SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BUDGET = 4
 SEED = 42
 SPLIT_ROWS = 8192
@@ -217,15 +220,44 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, id_col: str = "doc_id
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle_words: int = STAGE_SHINGLE_WORDS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A row for each row: doc_id, component_id of its group of texts whose shingle sets are at least so similar.
+
+    Candidates are the fingerprints' links and, as these find few pairs of a similarity under 0.95, equal bands of
+    min-hashes; all are verified by their sketches. Texts with one set of shingles are one before they are compared.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = W.flat(batch.column(1))
+            prints = np.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *sketches(texts, shingle_words)], names=["doc_id", "fp", "set", "n", "bands", "sketch"])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = stage(slim.mapInArrow(run, f"doc_id long, fp long, {SKETCHED}"), "sketched")
+    sets = stage(rows.groupBy("set").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "sets")
+    prints = stage(sets.groupBy("fp").agg(F.min("set").alias("of")), "prints")
+    forest = links(prints.select("fp"), prints.count(), budget)
+    ends = [prints.select(F.col("fp").alias(side), F.col("of").alias(f"{side}_set")) for side in ("src", "dst")]
+    across = forest.join(ends[0], "src").join(ends[1], "dst").select(F.col("src_set").alias("src"), F.col("dst_set").alias("dst"))
+    within = sets.join(prints, "fp").where(F.col("set") != F.col("of")).select(F.col("of").alias("src"), F.col("set").alias("dst"))
+    pairs = similar_pairs(rows, stage(across.unionByName(within), "candidates"), similarity)
+    labels = connected_components(pairs).withColumnRenamed("node", "set")
+    least = stage(sets.join(labels, "set").groupBy("component").agg(F.min("least").alias("component_id")), "least")
+    linked = stage(labels.join(least, "component").select("set", "component_id"), "linked")
+    named = stage(sets.join(linked, "set", "left").select("set", F.coalesce("component_id", "least").alias("component_id")), "groups")
+    return rows.select("doc_id", "set").join(named, "set").select("doc_id", "component_id")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The document of each group that has its smallest id, with the columns it had.
+    """The document of each group of near copies that has its smallest id, with the columns it had.
 
     Rows without an id are kept, as no group is named by them; of rows that repeat an id all that carry the kept id stay
     only once.
     """
     id_col = options.get("id_col", "doc_id")
     name = fresh(docs, "kept_id")
-    kept = near_duplicates(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = near_copies(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     once = docs.where(F.col(id_col).isNotNull())
     stay = once.join(kept, once[id_col].cast("long") == F.col(name), "left_semi").dropDuplicates([id_col])
     return stay.unionByName(docs.where(F.col(id_col).isNull()))

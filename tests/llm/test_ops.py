@@ -8,11 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from siftwell.llm import decontamination, language_model, licenses, packing, pii, quality_classifier, quality_rules, secrets, simhash, substring_dedup
+from siftwell.llm import decontamination, language_model, licenses, packing, pii, quality_classifier, quality_rules, resemblance, secrets, simhash, substring_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -226,7 +227,54 @@ def test_simhash(docs, none):
     expected = [(ROWS[i][0], f"{prints[i]:016x}", min((x for x in least[p] if x is not None), default=None)) for i, p in enumerate(parent)]
     assert sorted_rows(simhash.near_duplicates(docs)) == sorted(expected, key=repr)
     assert simhash.near_duplicates(none).count() == 0
-    assert simhash.keep_one(docs).count() == len({e[2] for e in expected if e[2] is not None}) + sum(r[0] is None for r in ROWS)
+
+
+def shingle_set(text, size=5):
+    w = words((text or "").translate(LOWER))
+    return {tuple(w[i : i + min(size, len(w))]) for i in range(len(w) - min(size, len(w)) + 1)} if w else set()
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_near_copies(spark, docs, none):
+    rows = list(ROWS)
+    for k, base in enumerate((3, 5, 7, 9, 11)):
+        w = words(TEXTS[base] + " " + prose(150))
+        for j in range(9):
+            own = list(w)
+            for at in RNG.integers(0, len(own), 1 + j % 4):
+                own[at] = "edited"
+            rows.append((1000 + 10 * k + j, " ".join(own), "en", "s", 0, 0))
+    sets = [shingle_set(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if likeness(sets[i], sets[j]) >= 0.8:
+                parent[root(i)] = root(j)
+    least = defaultdict(list)
+    for i in range(len(rows)):
+        least[root(i)].append(rows[i][0])
+    expected = [(r[0], min((x for x in least[root(i)] if x is not None), default=None)) for i, r in enumerate(rows)]
+    assert len(least) < len(rows) - 30
+    assert sorted_rows(simhash.near_copies(spark.createDataFrame(rows, SCHEMA).repartition(3))) == sorted(expected, key=repr)
+    assert simhash.near_copies(none).count() == 0 and simhash.keep_one(none).count() == 0
+    own = [e for e in expected if e[0] is None or e[0] < 1000]
+    assert simhash.keep_one(docs).count() == len({e[1] for e in own if e[1] is not None}) + sum(e[0] is None for e in own)
+
+
+def test_sketches_estimate_long_sets():
+    a, b = prose(9000).split(), prose(1000).split()
+    texts = [" ".join(a), " ".join(a[:8200] + b)]
+    held = resemblance.sketches(pa.array(texts), 5)[3].to_pylist()
+    assert resemblance.resemblance(*held) == pytest.approx(likeness(*map(shingle_set, texts)), abs=0.07)
 
 
 def test_quality_rules(docs, none, labels):
