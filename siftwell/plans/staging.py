@@ -10,12 +10,16 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UNKNOWN = 1 << 56
 _STAGED: list[tuple[SparkSession, str]] = []
+_SCRATCH: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,24 +34,45 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back."""
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; ``keep`` lets the table outlive an enclosing ``scratch``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siftwell/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    scratch_tables = _SCRATCH.get()
+    if scratch_tables is not None and not keep:
+        scratch_tables.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
     if not _STAGED:
         atexit.register(release)
     _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables staged inside are deleted at the end, so only what is staged with ``keep`` may be read after it."""
+    tables: list[tuple[SparkSession, str]] = []
+    token = _SCRATCH.set(tables)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for spark, path in tables:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release() -> None:
     """Delete every staged table of this process."""
     while _STAGED:
         spark, path = _STAGED.pop()
         try:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # noqa: BLE001 - the session may be gone already
             return
 
