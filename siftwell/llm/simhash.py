@@ -34,7 +34,7 @@ from siftwell.llm import words as W
 from siftwell.llm.resemblance import SKETCHED, similar_pairs, sketches
 from siftwell.llm.tables import fresh, table, text_or_empty
 from siftwell.operators.graph import connected_components
-from siftwell.plans.staging import stage
+from siftwell.plans.staging import scratch, stage
 
 SHINGLE_WORDS = 4
 STAGE_SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -233,20 +233,21 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle_words:
             prints = np.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *sketches(texts, shingle_words)], names=["doc_id", "fp", "set", "n", "bands", "sketch"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    rows = stage(slim.mapInArrow(run, f"doc_id long, fp long, {SKETCHED}"), "sketched")
-    sets = stage(rows.groupBy("set").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "sets")
-    prints = stage(sets.groupBy("fp").agg(F.min("set").alias("of")), "prints")
-    forest = links(prints.select("fp"), prints.count(), budget)
-    ends = [prints.select(F.col("fp").alias(side), F.col("of").alias(f"{side}_set")) for side in ("src", "dst")]
-    across = forest.join(ends[0], "src").join(ends[1], "dst").select(F.col("src_set").alias("src"), F.col("dst_set").alias("dst"))
-    within = sets.join(prints, "fp").where(F.col("set") != F.col("of")).select(F.col("of").alias("src"), F.col("set").alias("dst"))
-    pairs = similar_pairs(rows, stage(across.unionByName(within), "candidates"), similarity)
-    labels = connected_components(pairs).withColumnRenamed("node", "set")
-    least = stage(sets.join(labels, "set").groupBy("component").agg(F.min("least").alias("component_id")), "least")
-    linked = stage(labels.join(least, "component").select("set", "component_id"), "linked")
-    named = stage(sets.join(linked, "set", "left").select("set", F.coalesce("component_id", "least").alias("component_id")), "groups")
-    return rows.select("doc_id", "set").join(named, "set").select("doc_id", "component_id")
+    with scratch():
+        slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+        rows = stage(slim.mapInArrow(run, f"doc_id long, fp long, {SKETCHED}"), "sketched")
+        sets = stage(rows.groupBy("set").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "sets")
+        prints = stage(sets.groupBy("fp").agg(F.min("set").alias("of")), "prints")
+        forest = links(prints.select("fp"), prints.count(), budget)
+        ends = [prints.select(F.col("fp").alias(side), F.col("of").alias(f"{side}_set")) for side in ("src", "dst")]
+        across = forest.join(ends[0], "src").join(ends[1], "dst").select(F.col("src_set").alias("src"), F.col("dst_set").alias("dst"))
+        within = sets.join(prints, "fp").where(F.col("set") != F.col("of")).select(F.col("of").alias("src"), F.col("set").alias("dst"))
+        pairs = similar_pairs(rows, stage(across.unionByName(within), "candidates"), similarity)
+        labels = connected_components(pairs).withColumnRenamed("node", "set")
+        least = stage(sets.join(labels, "set").groupBy("component").agg(F.min("least").alias("component_id")), "least")
+        linked = stage(labels.join(least, "component").select("set", "component_id"), "linked")
+        named = stage(sets.join(linked, "set", "left").select("set", F.coalesce("component_id", "least").alias("component_id")), "groups")
+        return stage(rows.select("doc_id", "set").join(named, "set").select("doc_id", "component_id"), "near_copies", keep=True)
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
