@@ -6,7 +6,8 @@ A fingerprint of 64 bits with a budget of 4 finds next to no pair of similarity
 * ``BANDS`` bands of ``ROWS`` min-hashes each. Two texts of similarity s share a band with probability
   ``1 - (1 - s ** ROWS) ** BANDS``, which is 0.9996 at 0.8 and over 0.99999 at 0.9.
 * A sketch holds the ``SKETCH`` smallest shingle hashes. It gives the exact similarity of texts with at most so many
-  distinct shingles, and an estimate with a standard deviation of at most 0.018 at 0.8 for longer ones.
+  distinct shingles, and an estimate with a standard deviation of at most 0.018 at 0.8 for longer ones. Where an estimate
+  is within ``MARGIN`` of the threshold, the whole sets of shingle hashes decide.
 
 In each bucket of a band, leaders are chosen in rounds and every text of the bucket is compared with each leader, never
 with every text: the first round has one leader (the smallest), later rounds up to four times as many as the round before,
@@ -27,21 +28,23 @@ from siftwell.plans.staging import stage
 
 BANDS, ROWS = 20, 5
 SKETCH = 512
+#: More than five standard deviations of an estimate.
+MARGIN = 0.1
 _DRAW = np.random.default_rng(20240307)
 _FACTORS = _DRAW.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _DRAW.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
-SKETCHED = "set long, n long, bands array<long>, sketch binary"
+SKETCHED = "set long, n long, bands array<long>, sketch binary, whole binary"
 
 
 def sketches(texts: pa.Array, size: int) -> list[pa.Array]:
-    """For each text: a hash of its set of shingles, their number, its band keys and its sketch; lower-cases A-Z."""
+    """For each text: a hash of its set of shingles, their number, its band keys, its sketch, and all its hashes if the sketch has not; lower-cases A-Z."""
     parts = [_sketches(texts.slice(lo, hi - lo), size) for lo, hi in W.slices(texts)]
-    sets, counts, keys, held = ([x for p in parts for x in p[i]] for i in range(4))
+    sets, counts, keys, held, whole = ([x for p in parts for x in p[i]] for i in range(5))
     bands = pa.array(keys, pa.list_(pa.int64()))
-    return [pa.array(sets, pa.int64()), pa.array(counts, pa.int64()), bands, pa.array(held, pa.binary())]
+    return [pa.array(sets, pa.int64()), pa.array(counts, pa.int64()), bands, pa.array(held, pa.binary()), pa.array(whole, pa.binary())]
 
 
-def _sketches(texts: pa.Array, size: int) -> tuple[list, list, list, list]:
+def _sketches(texts: pa.Array, size: int) -> tuple[list, list, list, list, list]:
     words = W.split(texts, lower=True)
     sums = W.prefix_sums(words.hashes(), W.WORD_BASE)
     lengths = np.diff(words.first)
@@ -58,7 +61,7 @@ def _sketches(texts: pa.Array, size: int) -> tuple[list, list, list, list]:
                 least = np.minimum.reduceat(shingles * _FACTORS[row] + _SHIFTS[row], first[:-1][filled])
                 keys[filled, k] = W.mix(keys[filled, k] + W.mix(least + np.uint64(row)))
         keys[:, k] += np.uint64(k)
-    sets, numbers, held = [], [], []
+    sets, numbers, held, every = [], [], [], []
     for lo, hi in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         distinct = np.unique(shingles[lo:hi])
         total = (int(distinct.sum(dtype=np.uint64)) + len(distinct) * W.WORD_BASE_2) % (1 << 64)
@@ -66,35 +69,55 @@ def _sketches(texts: pa.Array, size: int) -> tuple[list, list, list, list]:
         sets.append(int(whole.view(np.int64)[0]))
         numbers.append(len(distinct))
         held.append((distinct[:SKETCH] >> np.uint64(32)).astype(np.uint32).tobytes())
-    return sets, numbers, keys.view(np.int64).tolist(), held
+        every.append((distinct >> np.uint64(32)).astype(np.uint32).tobytes() if len(distinct) > SKETCH else None)
+    return sets, numbers, keys.view(np.int64).tolist(), held, every
 
 
-def resemblance(a: bytes, b: bytes) -> float:
-    """Similarity of the sets behind two sketches; two empty sets are alike."""
+def resemblance(a: bytes, b: bytes, whole: bool = False) -> float:
+    """Similarity of the sets behind two sketches, or of two ``whole`` sets; two empty sets are alike."""
     x, y = np.frombuffer(a, dtype=np.uint32), np.frombuffer(b, dtype=np.uint32)
     both = np.sort(np.concatenate((x, y)))
     if not len(both):
         return 1.0
     new = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
     twice = np.diff(np.append(new, len(both))) > 1
-    if max(len(x), len(y)) >= SKETCH:
+    if not whole and max(len(x), len(y)) >= SKETCH:
         twice = twice[:SKETCH]
     return float(twice.mean())
 
 
-def verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """(src, dst): those of the distinct pairs whose sketches are similar enough."""
+def verified(pairs: DataFrame, held: DataFrame, every: DataFrame, similarity: float) -> DataFrame:
+    """(src, dst): those of the distinct pairs whose sets are similar enough; ``every`` has the whole sets of long texts."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            like = pa.array([resemblance(x, y) >= similarity for x, y in zip(a, b, strict=True)], pa.bool_())
-            yield batch.select(["src", "dst"]).filter(like)
+            value = np.array([resemblance(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+            long = np.array([max(len(x), len(y)) >= 4 * SKETCH for x, y in zip(a, b, strict=True)], dtype=bool)
+            doubt = long & (np.abs(value - similarity) <= MARGIN)
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(doubt, pa.bool_())], names=["src", "dst", "doubt"])
+            yield out.filter(pa.array(doubt | (value >= similarity), pa.bool_()))
 
-    one = held.select(F.col("set").alias("src"), F.col("sketch").alias("of_src"))
-    two = held.select(F.col("set").alias("dst"), F.col("sketch").alias("of_dst"))
-    joined = stage(pairs.join(two, "dst"), "compared").join(one, "src").select("src", "dst", "of_src", "of_dst")
-    return stage(joined.mapInArrow(check, "src long, dst long"), "alike")
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            like = [resemblance(x.as_py(), y.as_py(), whole=True) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select(["src", "dst"]).filter(pa.array(like, pa.bool_()))
+
+    joined = _with_both(pairs, held, "sketch")
+    found = stage(joined.mapInArrow(check, "src long, dst long, doubt boolean"), "alike")
+    sure, open_ = found.where("NOT doubt").select("src", "dst"), found.where("doubt").select("src", "dst")
+    if open_.isEmpty():
+        return sure
+    asked = open_.select(F.col("src").alias("set")).unionByName(open_.select(F.col("dst").alias("set"))).distinct()
+    sets = asked.join(held, "set").join(every, "set", "left").select("set", F.coalesce("whole", "sketch").alias("whole"))
+    return sure.unionByName(stage(_with_both(open_, stage(sets, "whole_sets"), "whole").mapInArrow(decide, "src long, dst long"), "decided"))
+
+
+def _with_both(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+    """src, dst and the column of each."""
+    one = held.select(F.col("set").alias("src"), F.col(column).alias("of_src"))
+    two = held.select(F.col("set").alias("dst"), F.col(column).alias("of_dst"))
+    return stage(pairs.join(two, "dst"), "compared").join(one, "src").select("src", "dst", "of_src", "of_dst")
 
 
 def similar_pairs(rows: DataFrame, more: DataFrame, similarity: float) -> DataFrame:
@@ -104,14 +127,15 @@ def similar_pairs(rows: DataFrame, more: DataFrame, similarity: float) -> DataFr
     buckets = stage(each.join(keys, "key", "left_semi").distinct(), "buckets")
     wanted = buckets.select("set").unionByName(more.select(F.col("src").alias("set"))).unionByName(more.select(F.col("dst").alias("set"))).distinct()
     held = stage(rows.select("set", "sketch").groupBy("set").agg(F.first("sketch").alias("sketch")).join(wanted, "set", "left_semi"), "sketches")
-    out = verified(more.where("src <> dst").distinct(), held, similarity)
+    every = stage(rows.where("whole IS NOT NULL").select("set", "whole").groupBy("set").agg(F.first("whole").alias("whole")).join(wanted, "set", "left_semi"), "every")
+    out = verified(more.where("src <> dst").distinct(), held, every, similarity)
     unled, leaders_each = buckets, 1
     while not unled.isEmpty():
         leads = unled.groupBy("key", F.pmod(F.xxhash64("set"), F.lit(leaders_each)).alias("salt")).agg(F.min(F.struct("set", "n")).alias("lead"))
         leads = stage(leads.select("key", F.col("lead.set").alias("leader"), F.col("lead.n").alias("leader_n")), "leads")
         close = F.least("n", "leader_n") >= F.lit(similarity) * F.greatest("n", "leader_n")
         asked = stage(buckets.join(leads, "key").where((F.col("set") != F.col("leader")) & close).select("key", "set", "leader"), "asked")
-        found = verified(asked.select(F.col("leader").alias("src"), F.col("set").alias("dst")).distinct(), held, similarity)
+        found = verified(asked.select(F.col("leader").alias("src"), F.col("set").alias("dst")).distinct(), held, every, similarity)
         out = out.unionByName(found)
         led = asked.join(found, (F.col("leader") == F.col("src")) & (F.col("set") == F.col("dst")), "left_semi").select("key", "set")
         gone = led.unionByName(leads.select("key", F.col("leader").alias("set"))).distinct()

@@ -224,14 +224,14 @@ def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle_words:
     """A row for each row: doc_id, component_id of its group of texts whose shingle sets are at least so similar.
 
     Candidates are the fingerprints' links and, as these find few pairs of a similarity under 0.95, equal bands of
-    min-hashes; all are verified by their sketches. Texts with one set of shingles are one before they are compared.
+    min-hashes; all are verified by their sketches or, near the threshold, whole sets. Texts with one set of shingles are one before they are compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = W.flat(batch.column(1))
             prints = np.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *sketches(texts, shingle_words)], names=["doc_id", "fp", "set", "n", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *sketches(texts, shingle_words)], names=["doc_id", "fp", "set", "n", "bands", "sketch", "whole"])
 
     with scratch():
         slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
