@@ -12,6 +12,9 @@ A fingerprint of 64 bits with a budget of 4 finds next to no pair of similarity
 In each bucket of a band, leaders are chosen in rounds and every text of the bucket is compared with each leader, never
 with every text: the first round has one leader (the smallest), later rounds up to four times as many as the round before,
 among the texts that no leader has taken. Rounds end when all are led, so they grow with the logarithm of a bucket.
+Texts that were led are compared with one another at last, where a bucket's are not all of one component yet; pairs of
+one component need no test. So every pair that shares a band is decided, in quadratic work where a bucket holds many
+components.
 """
 
 from __future__ import annotations
@@ -24,12 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwell.llm import words as W
+from siftwell.operators.graph import connected_components
 from siftwell.plans.staging import stage
 
 BANDS, ROWS = 20, 5
 SKETCH = 512
 #: More than five standard deviations of an estimate.
 MARGIN = 0.1
+#: Texts of a bucket that one block of a comparison has from each side.
+BLOCK_ROWS = 256
 _DRAW = np.random.default_rng(20240307)
 _FACTORS = _DRAW.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _DRAW.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
@@ -129,7 +135,7 @@ def similar_pairs(rows: DataFrame, more: DataFrame, similarity: float) -> DataFr
     held = stage(rows.select("set", "sketch").groupBy("set").agg(F.first("sketch").alias("sketch")).join(wanted, "set", "left_semi"), "sketches")
     every = stage(rows.where("whole IS NOT NULL").select("set", "whole").groupBy("set").agg(F.first("whole").alias("whole")).join(wanted, "set", "left_semi"), "every")
     out = verified(more.where("src <> dst").distinct(), held, every, similarity)
-    unled, leaders_each = buckets, 1
+    unled, leaders_each, led_texts = buckets, 1, buckets.select("key", "set")
     while not unled.isEmpty():
         leads = unled.groupBy("key", F.pmod(F.xxhash64("set"), F.lit(leaders_each)).alias("salt")).agg(F.min(F.struct("set", "n")).alias("lead"))
         leads = stage(leads.select("key", F.col("lead.set").alias("leader"), F.col("lead.n").alias("leader_n")), "leads")
@@ -140,5 +146,19 @@ def similar_pairs(rows: DataFrame, more: DataFrame, similarity: float) -> DataFr
         led = asked.join(found, (F.col("leader") == F.col("src")) & (F.col("set") == F.col("dst")), "left_semi").select("key", "set")
         gone = led.unionByName(leads.select("key", F.col("leader").alias("set"))).distinct()
         unled = stage(unled.join(gone, ["key", "set"], "left_anti"), "unled")
+        led_texts = stage(led_texts.join(leads.select("key", F.col("leader").alias("set")), ["key", "set"], "left_anti"), "led_texts")
         leaders_each *= 4
-    return out
+    labels = stage(connected_components(out), "so_far").withColumnRenamed("node", "set")
+    return out.unionByName(verified(_left_out(buckets.join(led_texts, ["key", "set"], "left_semi"), labels, similarity), held, every, similarity))
+
+
+def _left_out(led: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """(src, dst): distinct pairs of led texts of a bucket whose components differ; all led texts have a component."""
+    named = stage(led.join(labels, "set"), "named")
+    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")).where("lo <> hi").select("key", "parts")
+    rows = named.join(stage(mixed, "mixed"), "key").withColumn("salt", F.pmod(F.xxhash64("set", F.lit(11)), F.col("parts")).cast("int"))
+    rows = stage(rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))), "salted")
+    a = rows.select("key", F.col("salt").alias("left"), F.col("other").alias("right"), F.col("set").alias("src"), F.col("n").alias("src_n"), F.col("component").alias("src_in"))
+    b = rows.select("key", F.col("other").alias("left"), F.col("salt").alias("right"), F.col("set").alias("dst"), F.col("n").alias("dst_n"), F.col("component").alias("dst_in"))
+    close = F.least("src_n", "dst_n") >= F.lit(similarity) * F.greatest("src_n", "dst_n")
+    return stage(a.join(b, ["key", "left", "right"]).where((F.col("src") < F.col("dst")) & (F.col("src_in") != F.col("dst_in")) & close).select("src", "dst").distinct(), "left_out")

@@ -56,3 +56,42 @@ def test_long_pairs_near_the_threshold(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(rows).collect()}
     assert [got[2 * i] == got[2 * i + 1] for i in range(len(real))] == real
+
+
+def chains_and_loose_groups():
+    """Revision chains whose ends are unlike, and a template with independent edits whose pairs are about 0.8."""
+    rng, texts = np.random.default_rng(9), []
+    for c in range(3):
+        w = [f"c{c}w{i}" for i in range(200)]
+        for step in range(12):
+            texts.append(" ".join(w))
+            for at in rng.choice(200, 3, replace=False):
+                w[at] = f"c{c}s{step}x{at}"
+    base = [f"t{i}" for i in range(300)]
+    for j in range(80):
+        w = list(base)
+        for at in rng.choice(300, 6 + j % 4, replace=False):
+            w[at] = f"l{j}x{at}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_pairs_of_a_bucket_that_leaders_leave_out(spark):
+    # All texts share one bucket. L leads A and C leads B; A and B are alike, and no other pair is.
+    leader, a, b, c = (list(range(x, x + 100)) for x in (0, 9, 18, 27))
+    sets = [(np.uint32(1) + np.array(x, dtype=np.uint32)).tobytes() for x in (leader, a, b, c)]
+    rows = [(i, 100, [7], s, None) for i, s in zip((1, 3, 4, 2), sets, strict=True)]
+    frame = spark.createDataFrame(rows, resemblance.SKETCHED)
+    none = spark.createDataFrame([], "src long, dst long")
+    got = {tuple(sorted(r)) for r in resemblance.similar_pairs(frame, none, 0.8).collect()}
+    assert got == {(1, 3), (2, 4), (3, 4)}
+
+
+def test_recall_on_chains_and_loose_groups(spark):
+    texts = chains_and_loose_groups()
+    expected, pairs = groups(texts)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    sets = [shingle_set(t) for t in texts]
+    kept = sum(got[i] == got[j] for i in range(len(texts)) for j in range(i) if likeness(sets[i], sets[j]) >= 0.8)
+    print(f"recall {kept} of {pairs}")
+    assert kept == pairs and [got[i] for i in range(len(texts))] == expected
