@@ -3,7 +3,7 @@
 Base kinds: ``assign`` (a password-like name, then : or =, then a value of 8 characters or more), ``access`` (AKIA and
 capitals or digits, 16 characters or more) and ``hex`` (32 lower-case hexadecimal digits or more). Matches are leftmost
 and do not overlap within a kind; a match that is too short is dropped after it was made. A fourth kind, ``opaque``, has
-runs of 20 to 128 characters of ``[A-Za-z0-9_-]`` with a digit, a capital and a small letter.
+whole runs of 20 characters or more of ``[A-Za-z0-9_-]`` with a digit, a capital and a small letter.
 
 Positions come from splitting the text at the matches: lengths of pieces and matches alternate, so running sums are
 starts, counted in code points. Values are hashed; the corpus-wide frequency of a hash is its number of distinct
@@ -30,7 +30,7 @@ KINDS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
-    ("opaque", r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Z])(?=[A-Za-z0-9_-]*[a-z])[A-Za-z0-9_-]{20,128}(?![A-Za-z0-9_-])", 0, 20),
+    ("opaque", r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*[0-9])(?=[A-Za-z0-9_-]*[A-Z])(?=[A-Za-z0-9_-]*[a-z])[A-Za-z0-9_-]{20,}(?![A-Za-z0-9_-])", 0, 20),
 )
 #: What must match somewhere for a kind to have a span; spares the others the exact scan.
 _QUICK = {"access": "AKIA[A-Z0-9]{12}", "hex": "[0-9a-f]{32}"}
