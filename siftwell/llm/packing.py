@@ -4,17 +4,18 @@ Token sequences of all documents are packed into windows of ``window`` tokens so
 targets, by default each source's share of all tokens (so that all queues run dry together). The steps:
 
 1. Texts are tokenized once and staged, each with how many tokens of its source its task had before it.
-2. Sums by task and source give each document its place in its source's queue: the tokens before it, and from that the
-   share of its source that comes before it. Lanes are equal ranges of that share, so a lane has the same part of every
-   source, however the input was ordered, and a source that holds a third of all rows is spread over all lanes.
+2. Sums by task and source give each document its place in its source's queue: the tokens before it. Lanes are equal
+   ranges of each source's tokens, so a lane has the same part of every source, however the input was ordered, and a
+   source that holds a third of all rows is spread over all lanes. A document on a border is part of both lanes.
 3. A lane's task serves its queues by deficit round-robin: the source with the largest deficit sends up to a quantum,
    which is charged to it, while every token sent credits all sources with their targets. A lane begins with the deficits
    that all lanes before it have left, which follow from the places of its first documents; so deficits carry over
-   windows and over tasks, and a source is off target by a few long documents at most.
+   windows and over tasks, and a source is off target by a few quanta at most in each window. A quantum is a small part
+   of the window.
 4. Lanes follow one another without a gap: a window may end one lane and begin the next. Only the corpus' last window
    can be short.
 
-Documents are cut where a quantum or a window ends; each token lies in one piece. With ``weights`` the deficits follow
+Documents are cut where a quantum, a window or a lane ends; each token lies in one piece. With ``weights`` the deficits follow
 these instead; as all tokens are packed, the mixture then holds as far as the queues of a lane last.
 
 Null texts count as empty and are packed as their end token alone; null sources are a queue of their own; a null id
@@ -44,7 +45,7 @@ from siftwell.llm.tables import table, text_or_empty
 from siftwell.plans.staging import stage
 
 WINDOW = 2048
-QUANTUM = 2048
+QUANTUM = 64
 END_ID = 1
 LANE_TOKENS = 1 << 20
 _ENCODERS: dict = {}
@@ -168,9 +169,9 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def _pack(lane: pa.Table, window: int, quantum: int) -> pa.Table:
-    lane = lane.sort_by([("place", "ascending"), ("source", "ascending"), ("doc_id", "ascending"), ("start_of", "ascending")])
+    lane = lane.sort_by([("source", "ascending"), ("start_of", "ascending"), ("doc_id", "ascending")])
     doc_ids, sources, sizes = (lane.column(c).to_pylist() for c in ("doc_id", "source", "n_tokens"))
-    start_of, target = (lane.column(c).to_pylist() for c in ("start_of", "target"))
+    start_of, target, skipped, doc_tokens = (lane.column(c).to_pylist() for c in ("start_of", "target", "skipped", "doc_tokens"))
     at = lane.column("lane_start")[0].as_py()
     queues: dict[str, list[int]] = {}
     for i, s in enumerate(sources):
@@ -183,12 +184,12 @@ def _pack(lane: pa.Table, window: int, quantum: int) -> pa.Table:
     for doc, first, take in serve(queues, sizes, targets, deficits, quantum):
         ids = open_.pop(doc, None)
         if ids is None:
-            ids = _ids(held[doc].as_py())
+            ids = _ids(held[doc].as_py())[skipped[doc] : skipped[doc] + sizes[doc]]
         if first + take < sizes[doc]:
             open_[doc] = ids
         while take:
             n = min(take, window - at % window)
-            rows.append((doc_ids[doc], first, n, zlib.crc32(ids[first : first + n].tobytes()), sizes[doc], at // window, at % window, sources[doc]))
+            rows.append((doc_ids[doc], skipped[doc] + first, n, zlib.crc32(ids[first : first + n].tobytes()), doc_tokens[doc], at // window, at % window, sources[doc]))
             first, take, at = first + n, take - n, at + n
     kinds = [pa.int64()] * 7 + [pa.string()]
     names = [x.split()[0] for x in PIECES.split(", ")]
@@ -223,12 +224,18 @@ def pack(
     offsets = by_task.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     offsets = stage(offsets.join(by_source.withColumn("target", share), "source"), "offsets")
     start = F.col("earlier") + F.col("before")
-    place = (start + F.col("n_tokens") / 2) / F.col("source_tokens")
-    placed = tokens.join(offsets, ["task", "source"]).select(
-        "doc_id", "source", "n_tokens", "held", "target", start.alias("start_of"), place.alias("place"), F.least(F.floor(place * n_lanes), F.lit(n_lanes - 1)).alias("lane")
-    )
-    meta = tokens.drop("held", "doc_id").join(offsets, ["task", "source"])
-    lanes = meta.groupBy(F.least(F.floor(place * n_lanes), F.lit(n_lanes - 1)).alias("lane")).agg(F.sum("n_tokens").alias("n"))
+    lane_of = lambda at: F.expr(f"(({at} + 1) * {n_lanes} - 1) div source_tokens")
+    edge = lambda lane: F.expr(f"({lane} * source_tokens) div {n_lanes}")
+
+    def cut(rows: DataFrame) -> DataFrame:
+        """A row for each lane that a document has tokens in, with those tokens' place and number."""
+        whole = rows.join(offsets, ["task", "source"]).withColumn("doc_start", start).withColumnRenamed("n_tokens", "doc_tokens")
+        each = whole.withColumn("lane", F.explode(F.sequence(lane_of("doc_start"), lane_of("(doc_start + doc_tokens - 1)"))))
+        each = each.withColumn("start_of", F.greatest("doc_start", edge("lane"))).withColumn("skipped", F.col("start_of") - F.col("doc_start"))
+        return each.withColumn("n_tokens", F.least(F.col("doc_start") + F.col("doc_tokens"), edge("(lane + 1)")) - F.col("start_of"))
+
+    placed = cut(tokens).select("doc_id", "source", "n_tokens", "held", "target", "start_of", "skipped", "doc_tokens", "lane")
+    lanes = cut(tokens.drop("held", "doc_id")).groupBy("lane").agg(F.sum("n_tokens").alias("n"))
     starts = _running(stage(lanes, "lanes"))
     joined = placed.join(starts, "lane")
     return joined.groupBy("lane").applyInArrow(lambda t: _pack(t, window, quantum), PIECES)
