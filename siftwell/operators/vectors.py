@@ -17,6 +17,7 @@ from siftwell.plans.ordering import numbered
 from siftwell.plans.staging import stage
 
 BLOCK_ROWS = 4096
+SAMPLE_ROWS = 256
 
 
 def normalized(items: DataFrame, enabled: bool = True) -> DataFrame:
@@ -24,45 +25,51 @@ def normalized(items: DataFrame, enabled: bool = True) -> DataFrame:
     return items.select("row_index", "image_id", vector.alias("embedding"))
 
 
-def top_k(items: DataFrame, k: int, method: str = "exact", block_rows: int = BLOCK_ROWS, lists: int = 64, probes: int = 8, seed: int = 42) -> DataFrame:
+def top_k(items: DataFrame, k: int, method: str = "exact", block_rows: int = BLOCK_ROWS, lists: int = 64, probes: int = 8, seed: int = 42, recall: float = 0.95) -> DataFrame:
     """(image_id, neighbor_id, score, rank): the k items with the largest inner product, the item itself included.
 
     ``exact`` sends the vectors a block of rows at a time, so that what is sent is bounded, and scans all rows for each
-    block: quadratic work, as exactness needs. ``ivf`` compares only items of the ``probes`` nearest of ``lists`` lists.
+    block: quadratic work, as exactness needs. ``ivf`` compares only items of the nearest of ``lists`` lists: ``probes``, or
+    as many more as a hashed sample of items needs to find the share ``recall`` of its exact neighbours.
     """
     if method == "ivf":
-        return _merge(_ivf(items, lists, probes, seed), k)
+        return _merge(_ivf(items, k, lists, probes, seed, recall), k)
     if method != "exact":
         raise ValueError("method is exact or ivf")
     spark, out = items.sparkSession, None
     for ids, matrix in _blocks(items, block_rows):
-        sent = spark.sparkContext.broadcast((ids, matrix))
-
-        def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            ids, queries = sent.value
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                own, index = batch.column("image_id").to_pylist(), batch.column("row_index").to_numpy()
-                scores = queries @ np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).T
-                best = np.lexsort((np.broadcast_to(index, scores.shape), -scores))[:, :k]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(np.array(ids, dtype=object), best.shape[1])),
-                        pa.array([own[j] for j in best.ravel()], pa.string()),
-                        pa.array(index[best.ravel()]),
-                        pa.array(np.take_along_axis(scores, best, 1).ravel()),
-                    ],
-                    names=["image_id", "neighbor_id", "neighbor_index", "score"],
-                )
-
-        part = items.select("image_id", "row_index", "embedding").mapInArrow(search, "image_id string, neighbor_id string, neighbor_index long, score double")
+        part = _scan(items, ids, matrix, k)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], "image_id string, neighbor_id string, score double, rank int")
     return _merge(out, k)
 
 
+def _scan(items: DataFrame, ids: list[str], matrix: np.ndarray, k: int) -> DataFrame:
+    """For each of the queries that are sent, the best k of each batch of rows."""
+    sent = items.sparkSession.sparkContext.broadcast((ids, matrix))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries = sent.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own, index = batch.column("image_id").to_pylist(), batch.column("row_index").to_numpy()
+            scores = queries @ np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).T
+            best = np.lexsort((np.broadcast_to(index, scores.shape), -scores))[:, :k]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(np.array(ids, dtype=object), best.shape[1])),
+                    pa.array([own[j] for j in best.ravel()], pa.string()),
+                    pa.array(index[best.ravel()]),
+                    pa.array(np.take_along_axis(scores, best, 1).ravel()),
+                ],
+                names=["image_id", "neighbor_id", "neighbor_index", "score"],
+            )
+
+    return items.select("image_id", "row_index", "embedding").mapInArrow(search, "image_id string, neighbor_id string, neighbor_index long, score double")
+
+
 def _blocks(items: DataFrame, size: int) -> Iterator[tuple[list[str], np.ndarray]]:
     ids: list[str] = []
     vectors: list[list[float]] = []
@@ -81,10 +88,10 @@ def _merge(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("image_id", "neighbor_id", "score", "rank")
 
 
-def _ivf(items: DataFrame, lists: int, probes: int, seed: int) -> DataFrame:
+def _ivf(items: DataFrame, k: int, lists: int, probes: int, seed: int, recall: float) -> DataFrame:
     model = KMeans(k=lists, seed=seed, maxIter=10).fit(items.orderBy(F.xxhash64("image_id"), "row_index").limit(lists * 256).select(array_to_vector("embedding").alias("features")))
     centers = np.array(model.clusterCenters())
-    n = min(probes, len(centers))
+    n = min(max(probes, _probes_for(items, centers, k, recall)), len(centers))
 
     def nearest(batches: Iterator[pa.RecordBatch], n: int = n) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,6 +108,21 @@ def _ivf(items: DataFrame, lists: int, probes: int, seed: int) -> DataFrame:
     return queries.join(base, "list_id").select("image_id", "neighbor_id", "neighbor_index", dot.alias("score"))
 
 
+def _probes_for(items: DataFrame, centers: np.ndarray, k: int, recall: float) -> int:
+    """The fewest lists in which a hashed sample of items finds the share ``recall`` of its exact k neighbours."""
+    sample = items.orderBy(F.xxhash64("image_id", F.lit(1)), "row_index").limit(SAMPLE_ROWS).select("image_id", "embedding").collect()
+    if not sample:
+        return 1
+    of = {r["image_id"]: np.array(r["embedding"]) for r in sample}
+    best = _merge(_scan(items, list(of), np.stack(list(of.values())), k), k).select("image_id", "neighbor_id")
+    found = best.join(items.select(F.col("image_id").alias("neighbor_id"), "embedding"), "neighbor_id").select("image_id", "embedding").collect()
+    gaps = lambda x: (centers**2).sum(1) - 2 * x @ centers.T
+    places = np.argsort(np.argsort(gaps(np.stack([of[r["image_id"]] for r in found])), axis=1, kind="stable"), axis=1)
+    lists = gaps(np.array([r["embedding"] for r in found])).argmin(1)
+    needed = np.sort(places[np.arange(len(found)), lists]) + 1
+    return int(needed[int(np.ceil(recall * len(needed))) - 1])
+
+
 def rerank(candidates: DataFrame, k: int) -> DataFrame:
     """Neighbours without the item itself, the first k by score."""
     order = Window.partitionBy("image_id").orderBy(F.desc("score"), "rank")
