@@ -4,11 +4,11 @@ Items and documents are lower-cased; words are runs of ASCII letters and digits
 is the set of its five-word shingles (an item of one to four words has its whole word sequence as its only shingle). A
 document contains an item if at least ``threshold`` of the item's shingles occur in it.
 
-Items are partitioned by their number n of shingles. A partition's sketch keeps the ``n - ceil(threshold * n) + 1``
+Items are not partitioned by size: sketches are in one table, keyed by shingle length. The sketch of n shingles keeps the ``n - ceil(threshold * n) + 1``
 smallest min-hash values of each item. If a document holds ``threshold`` of an item's shingles it misses at most
 ``n - ceil(threshold * n)`` of them, so at least one sketch value is among the document's: the search has no false
 negatives, whatever the lengths. Each document is probed with every rolling window, whole; candidates are then verified
-on the words themselves. Documents with fewer words than a partition's least match are not probed for it.
+on the words themselves.
 
 The benchmark is the query set. It is read in blocks of at most ``block_items`` items and ``block_bytes`` bytes (a longer
 item is a block of its own), the documents once per block, so what is sent to executors has a bound that does not depend
