@@ -1,9 +1,10 @@
 """PII surrogates: entities get keyed replacements of the same type, script, gender and format.
 
 Detected are e-mail addresses, phone numbers, IPv4 addresses, card-like numbers of 13 to 19 digits, US social security
-numbers, IBANs, and names after a form of address (Mr, Frau, Señora, ...). An entity is its type and normal form (case,
+numbers, IBANs, and names after a form of address (Mr, Frau, Señora, ...), which are then found without it in the same text too. An entity is its type and normal form (case,
 punctuation and spacing aside), so each mention of it in any document gets the same surrogate, in the mention's own
-format: coreference holds corpus-wide without any exchange.
+format, without any exchange. For names this holds within a text; from text to text it holds where gender and longest
+form agree.
 
 Surrogates of numbers, IBANs and e-mail parts are a keyed permutation (a Feistel network with cycle walking) of the
 entities of the same pattern of letter and digit places: distinct entities cannot meet. Names are spelt from syllables of
@@ -43,7 +44,8 @@ PATTERN = re.compile(
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b)"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}(?!\d)|(?<![\w(])\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}(?!\d))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{2,4}(?:[\x20.-]?\d{2,4}){1,4}(?!\d)|(?<![\w(])\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}(?!\d)"
+    r"|(?<![\w.+-])(?:\d{3}[.-]\d{3}[.-]\d{4}|\d{3}\x20\d{3}\x20\d{4}|0\d{1,4}[\x20/-]\d{3,4}(?:[\x20-]?\d{2,4}){1,2})(?![\w-]|\.\d))"
     r"|(?P<card>(?<![\d-])\d(?:[\x20-]?\d){12,18}(?![\d-]))"
     rf"|(?P<name>(?<!\w)(?P<title>{_TITLE})\.?\x20(?P<who>{_NAME}(?:\x20{_NAME}){{0,2}}))"
 )
@@ -127,16 +129,52 @@ def spelt(word: str, gender: str, key: bytes, draw: int) -> str:
 
 
 def found(text: str) -> Iterator[tuple[int, int, str, str, str]]:
-    """Start, end, type, normal form and gender of each entity."""
+    """Start, end, type, normal form and gender of each entity.
+
+    A name found after a form of address is found again, whole or by one of its outer words, wherever the text has it;
+    its normal form is the longest name of the text that it is part of, and its gender the first known one of that.
+    """
     if not _HINT.search(text):
         return
+    spans = list(_marked(text))
+    names = [x for x in spans if x[2] == "name"]
+    if not names:
+        yield from spans
+        return
+    whole = sorted({x[3] for x in names}, key=lambda v: (-len(v.split(" ")), v))
+    of = {v: v for v in whole}
+    for v in whole:
+        for part in (v.split(" ")[0], v.split(" ")[-1]):
+            of[part] = min((w for w in whole if part in (w.split(" ")[0], w.split(" ")[-1])), key=whole.index)
+    gender: dict[str, str] = {}
+    for _, _, _, value, g in names:
+        name = of[value]
+        if gender.get(name, "n") == "n":
+            gender[name] = g
+    taken = sorted((x[0], x[1]) for x in spans)
+    again = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(of, key=len, reverse=True)))})(?!\w)", re.IGNORECASE)
+    at = 0
+    for m in again.finditer(text):
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if all(w[0].isupper() for w in m[0].split(" ")) and (at == len(taken) or taken[at][0] >= m.end()):
+            spans.append((m.start(), m.end(), "name", m[0].lower(), ""))
+    for start, end, kind, value, g in sorted(spans):
+        if kind == "name":
+            value = of.get(value, value)
+            g = gender[value]
+        yield start, end, kind, value, g
+
+
+def _marked(text: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """The entities that the pattern finds by itself."""
     for m in PATTERN.finditer(text):
         kind = m.lastgroup if m.lastgroup in TYPES else "name"
         if kind == "name":
             words = m["who"].split(" ")
             n = next((i for i, w in enumerate(words) if not w[0].isupper()), len(words))
             if n:
-                who = " ".join(words[:n])
+                who = re.sub(r"['’][sS]$", "", " ".join(words[:n]))
                 yield m.start("who"), m.start("who") + len(who), kind, who.lower(), _GENDER[m["title"]]
         elif kind == "email":
             yield m.start(), m.end(), kind, m[0].lower(), ""
@@ -163,12 +201,15 @@ def surrogate(kind: str, value: str, gender: str, key: bytes, draw: int = 0) ->
     return by_pattern(value, key, label, 2 if kind == "iban" or value[0] == "+" else 0)
 
 
-def dressed(mention: str, kind: str, form: str) -> str:
+def dressed(mention: str, kind: str, form: str, value: str = "") -> str:
     """A surrogate's normal form in the format of the mention that it replaces."""
     if kind == "ip":
         return form
     if kind == "name":
         words = mention.split(" ")
+        if value and value != mention.lower():
+            of = dict(zip(value.split(" "), form.split(" "), strict=True))
+            form = " ".join(of[w.lower()] for w in words)
         return " ".join(f.upper() if w.isupper() and len(w) > 1 else f.capitalize() if w[0].isupper() else f for w, f in zip(words, form.split(" "), strict=True))
     if kind == "email":
         return "".join(f.upper() if c.isupper() else f for c, f in zip(mention, form, strict=True))
@@ -181,7 +222,7 @@ def replace(text: str, key: bytes, draws: dict[tuple[str, str, str], int] | None
     out, at, kinds = [], 0, []
     for start, end, kind, value, gender in found(text):
         form = surrogate(kind, value, gender, key, (draws or {}).get((kind, value, gender), 0))
-        out += [text[at:start], dressed(text[start:end], kind, form)]
+        out += [text[at:start], dressed(text[start:end], kind, form, value)]
         at = end
         kinds.append(kind)
     return "".join([*out, text[at:]]), kinds
