@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 _UNKNOWN = 1 << 56
 _STAGED: list[tuple[SparkSession, str]] = []
-_SCRATCH: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("scratch", default=None)
+_SCRATCH: ContextVar[tuple[list[tuple[SparkSession, str]], ...]] = ContextVar("scratch", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,17 +35,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back; ``keep`` lets the table outlive an enclosing ``scratch``."""
+    """Write ``df`` to the shared folder and read it back.
+
+    ``keep`` lets the table outlive the innermost enclosing ``scratch``; it then belongs to the one around that, if any.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siftwell/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    scratch_tables = _SCRATCH.get()
-    if scratch_tables is not None and not keep:
-        scratch_tables.append((spark, path))
-        return spark.read.schema(df.schema).parquet(path)
-    if not _STAGED:
-        atexit.register(release)
-    _STAGED.append((spark, path))
+    around = _SCRATCH.get()[: -1 if keep else None]
+    if around:
+        around[-1].append((spark, path))
+    else:
+        if not _STAGED:
+            atexit.register(release)
+        _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -53,7 +56,7 @@ def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
 def scratch() -> Iterator[None]:
     """Tables staged inside are deleted at the end, so only what is staged with ``keep`` may be read after it."""
     tables: list[tuple[SparkSession, str]] = []
-    token = _SCRATCH.set(tables)
+    token = _SCRATCH.set((*_SCRATCH.get(), tables))
     try:
         yield
     finally:

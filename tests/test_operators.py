@@ -36,8 +36,12 @@ def test_components(spark):
     for _ in label:
         for a, b in edges:
             label[a] = label[b] = min(label[a], label[b])
-    found = connected_components(spark.createDataFrame(edges, "src long, dst long"))
-    assert {r[0]: r[1] for r in found.collect()} == label
+    rows = spark.createDataFrame(edges, "src long, dst long")
+    for at_once in (0, 30, 1000):
+        assert {r[0]: r[1] for r in connected_components(rows, task_edges=at_once).collect()} == label
+    named = connected_components(rows.selectExpr("'n' || src AS src", "'n' || dst AS dst")).collect()
+    assert len({r[1] for r in named}) == len(set(label.values())) and all(r[1] <= r[0] for r in named)
+    assert connected_components(rows.where("src < 0")).count() == 0
 
 
 def test_fold(spark):
