@@ -27,12 +27,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from siftwell.llm import words as W
-from siftwell.llm.resemblance import SKETCHED, similar_pairs, sketches
-from siftwell.llm.tables import fresh, table, text_or_empty
+from siftwell.llm.resemblance import similar_pairs, sketched
+from siftwell.llm.tables import fresh, row_key, table, text_or_empty
 from siftwell.operators.graph import connected_components
 from siftwell.plans.staging import scratch, stage
 
@@ -220,48 +219,51 @@ def near_duplicates(docs: DataFrame, budget: int = BUDGET, id_col: str = "doc_id
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle_words: int = STAGE_SHINGLE_WORDS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row: doc_id, component_id of its group of texts whose shingle sets are at least so similar.
+def near_copies(docs: DataFrame, similarity: float = SIMILARITY, shingle_words: int = STAGE_SHINGLE_WORDS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """A row for each row: doc_id, row_key (a hash of id and text), component_id, keeper (the row_key that stays).
 
-    Candidates are the fingerprints' links and, as these find few pairs of a similarity under 0.95, equal bands of
-    min-hashes; all are verified by their sketches or, near the threshold, whole sets. Texts with one set of shingles are one before they are compared.
+    Groups are of texts whose shingle sets are at least so similar. Candidates are the fingerprints' links by the trie
+    self-join and, as these find few pairs of a similarity under 0.95, the prefix join of ``resemblance``; all are verified
+    on whole sets. Texts with one set of shingles are one before they are compared. Here a fingerprint is over the window
+    hashes that the sets have. A component's id is its smallest id that is not null, its keeper the smallest row key
+    of that id, or of all its rows if none has an id.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = W.flat(batch.column(1))
-            prints = np.array([fingerprint(t, shingle_words) for t in texts.to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *sketches(texts, shingle_words)], names=["doc_id", "fp", "set", "n", "bands", "sketch", "whole"])
-
     with scratch():
-        slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-        rows = stage(slim.mapInArrow(run, f"doc_id long, fp long, {SKETCHED}"), "sketched")
-        sets = stage(rows.groupBy("set").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp")), "sets")
+        slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), row_key(F.col(id_col), text_or_empty(text_col)).alias("row_key"))
+        rows = sketched(slim, shingle_words)
+        own = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key"))
+        sets = stage(rows.where("kind = 0").groupBy("set").agg(own.alias("least"), F.min("fp").alias("fp")), "sets")
         prints = stage(sets.groupBy("fp").agg(F.min("set").alias("of")), "prints")
         forest = links(prints.select("fp"), prints.count(), budget)
         ends = [prints.select(F.col("fp").alias(side), F.col("of").alias(f"{side}_set")) for side in ("src", "dst")]
         across = forest.join(ends[0], "src").join(ends[1], "dst").select(F.col("src_set").alias("src"), F.col("dst_set").alias("dst"))
         within = sets.join(prints, "fp").where(F.col("set") != F.col("of")).select(F.col("of").alias("src"), F.col("set").alias("dst"))
-        pairs = similar_pairs(rows, stage(across.unionByName(within), "candidates"), similarity)
+        pairs = similar_pairs(slim, rows, stage(across.unionByName(within), "candidates"), similarity, shingle_words, **options)
         labels = connected_components(pairs).withColumnRenamed("node", "set")
-        least = stage(sets.join(labels, "set").groupBy("component").agg(F.min("least").alias("component_id")), "least")
-        linked = stage(labels.join(least, "component").select("set", "component_id"), "linked")
-        named = stage(sets.join(linked, "set", "left").select("set", F.coalesce("component_id", "least").alias("component_id")), "groups")
-        return stage(rows.select("doc_id", "set").join(named, "set").select("doc_id", "component_id"), "near_copies", keep=True)
+        labelled = stage(sets.join(labels, "set", "left").select("set", "least", F.coalesce("component", "set").alias("component")), "labelled")
+        best = labelled.groupBy("component").agg(F.min("least").alias("best"))
+        named = stage(labelled.join(best, "component").select("set", F.col("best.doc_id").alias("component_id"), F.col("best.row_key").alias("keeper")), "groups")
+        return stage(rows.where("kind = 0").select("doc_id", "row_key", "set").join(named, "set").select("doc_id", "row_key", "component_id", "keeper"), "near_copies", keep=True)
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The document of each group of near copies that has its smallest id, with the columns it had.
+    """One row of each group of near copies, the one with its smallest id, with the columns it had.
 
-    Rows without an id are kept, as no group is named by them; of rows that repeat an id all that carry the kept id stay
-    only once.
+    Rows without an id stay only if their group has no id at all. Rows that repeat both id and text are told apart by
+    their other columns, of which the smallest hash stays; different texts under one id are rows of their own.
     """
-    id_col = options.get("id_col", "doc_id")
-    name = fresh(docs, "kept_id")
-    kept = near_copies(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
-    once = docs.where(F.col(id_col).isNotNull())
-    stay = once.join(kept, once[id_col].cast("long") == F.col(name), "left_semi").dropDuplicates([id_col])
-    return stay.unionByName(docs.where(F.col(id_col).isNull()))
+    columns = [options.get(k, k.replace("id_col", "doc_id").replace("text_col", "text")) for k in ("id_col", "text_col")]
+    key, place = fresh(docs, "kept_key"), fresh(docs, "kept_place")
+    copies = near_copies(docs, **options)
+    kept = copies.where("row_key = keeper").groupBy(F.col("keeper").alias(key)).agg(F.count("*").alias(place))
+    keyed = docs.withColumn(key, row_key(F.col(columns[0]), text_or_empty(columns[1])))
+    single = keyed.join(kept.where(F.col(place) == 1), key, "left_semi").select(*docs.columns)
+    several = stage(kept.where(F.col(place) > 1).select(key), "repeated_rows")
+    if several.isEmpty():
+        return single
+    order = Window.partitionBy(key).orderBy(F.xxhash64(*[F.to_json(F.struct(c)) for c in docs.columns]))
+    once = keyed.join(several, key, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return single.unionByName(once.select(*docs.columns))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,12 +54,10 @@ def unpacked(held: bytes) -> np.ndarray:
 
 
 def by_bucket(values: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
-    """Bucket and range of each bucket that has some of the sorted values; buckets are equal ranges of hashes."""
-    tops = np.array([((i << 64) // n) & ~3 for i in range(1, n)], dtype=np.uint64)
-    edges = [0, *np.searchsorted(values, tops).tolist(), len(values)]
-    for k in range(n):
-        if edges[k] < edges[k + 1]:
-            yield k, edges[k], edges[k + 1]
+    """Bucket and range of each bucket that has some of the sorted values; buckets are equal ranges of their upper halves."""
+    bucket = ((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), dtype=bool), bucket[1:] != bucket[:-1])))
+    yield from zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(values)], strict=True)
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.Table:
