@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftwell.functions.scalars import distance
+from siftwell.plans.ordering import numbered
 
 
 def cluster_count(n: int, configured: int | str) -> int:
@@ -38,11 +39,24 @@ def with_distance(assigned: DataFrame) -> DataFrame:
     return assigned.withColumn("distance_to_centroid", distance(F.col("embedding"), F.col("centroid")))
 
 
+def percentile_of(rows: DataFrame, column: str, share: float) -> float | None:
+    """The exact percentile of a column, linearly interpolated, by places in the order of all rows; nulls are passed over."""
+    held = rows.select(F.col(column).alias("x")).where("x IS NOT NULL")
+    n = held.count()
+    if not n:
+        return None
+    at = share * (n - 1)
+    lo = math.floor(at)
+    found = {r["place"]: r["x"] for r in numbered(held, ["x"], "place").where(F.col("place").isin(lo + 1, min(lo + 2, n))).collect()}
+    low, high = found[lo + 1], found[min(lo + 2, n)]
+    return low + (high - low) * (at - lo)
+
+
 def outliers(rows: DataFrame, percentile: float = 99.0, enabled: bool = True) -> DataFrame:
     """Adds is_outlier: at or above the global percentile of distances, linearly interpolated."""
     if not enabled:
         return rows.withColumn("is_outlier", F.lit(False))
-    limit = rows.agg(F.percentile("distance_to_centroid", percentile / 100).alias("limit")).first()["limit"]
+    limit = percentile_of(rows, "distance_to_centroid", percentile / 100)
     return rows.withColumn("is_outlier", F.col("distance_to_centroid") >= F.lit(float("inf") if limit is None else limit))
 
 

@@ -1,7 +1,12 @@
-"""Nearest neighbours: exact in blocks, or by an inverted file of k-means lists; and duplicate groups."""
+"""Nearest neighbours: exact tile by tile, or by an inverted file of k-means lists; and duplicate groups.
+
+Vectors are packed into tiles, binary matrices of a bounded number of rows, so that all scores are matrix products in
+tasks. Nothing but the centres of the lists (``sqrt(n)`` of them unless told otherwise) reaches the driver.
+"""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,8 +21,14 @@ from siftwell.operators.graph import connected_components
 from siftwell.plans.ordering import numbered
 from siftwell.plans.staging import stage
 
-BLOCK_ROWS = 4096
-SAMPLE_ROWS = 256
+#: Rows of a tile, at most; 64 dimensions in double precision are 2 MB.
+TILE_ROWS = 4096
+#: Up to so many items ``auto`` is exact: 25 tiles, 625 products of tiles.
+EXACT_ITEMS = 100_000
+SAMPLE_ROWS, TRAIN_EACH = 256, 256
+NEIGHBORS = "image_id string, neighbor_id string, score double, rank int"
+_FOUND = "image_id string, neighbor_id string, neighbor_index long, score double"
+_TILE = "ids binary, places binary, matrix binary"
 
 
 def normalized(items: DataFrame, enabled: bool = True) -> DataFrame:
@@ -25,62 +36,95 @@ def normalized(items: DataFrame, enabled: bool = True) -> DataFrame:
     return items.select("row_index", "image_id", vector.alias("embedding"))
 
 
-def top_k(items: DataFrame, k: int, method: str = "exact", block_rows: int = BLOCK_ROWS, lists: int = 64, probes: int = 8, seed: int = 42, recall: float = 0.95) -> DataFrame:
+def top_k(
+    items: DataFrame, k: int, method: str = "auto", tile_rows: int = TILE_ROWS, lists: int | None = None, probes: int = 8, seed: int = 42, recall: float = 0.95, exact_items: int = EXACT_ITEMS
+) -> DataFrame:
     """(image_id, neighbor_id, score, rank): the k items with the largest inner product, the item itself included.
 
-    ``exact`` sends the vectors a block of rows at a time, so that what is sent is bounded, and scans all rows for each
-    block: quadratic work, as exactness needs. ``ivf`` compares only items of the nearest of ``lists`` lists: ``probes``, or
-    as many more as a hashed sample of items needs to find the share ``recall`` of its exact neighbours.
+    ``exact`` multiplies every tile with every other: quadratic work, as exactness needs, with a running best k for each
+    tile's rows. ``ivf`` compares only items of the nearest of ``lists`` lists (by default the square root of their
+    number): ``probes``, or as many more as a hashed sample of items needs to find the share ``recall`` of its exact
+    neighbours. ``auto`` is exact up to ``exact_items`` items, else ivf.
     """
+    if method not in ("auto", "exact", "ivf"):
+        raise ValueError("method is auto, exact or ivf")
+    if method == "auto" or (method == "ivf" and lists is None):
+        n = items.count()
+        method = ("exact" if n <= exact_items else "ivf") if method == "auto" else method
+        lists = lists or max(1, math.isqrt(n))
     if method == "ivf":
-        return _merge(_ivf(items, k, lists, probes, seed, recall), k)
-    if method != "exact":
-        raise ValueError("method is exact or ivf")
-    spark, out = items.sparkSession, None
-    for ids, matrix in _blocks(items, block_rows):
-        part = _scan(items, ids, matrix, k)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "image_id string, neighbor_id string, score double, rank int")
-    return _merge(out, k)
-
-
-def _scan(items: DataFrame, ids: list[str], matrix: np.ndarray, k: int) -> DataFrame:
-    """For each of the queries that are sent, the best k of each batch of rows."""
-    sent = items.sparkSession.sparkContext.broadcast((ids, matrix))
+        return _merge(_ivf(items, k, lists, probes, seed, recall, tile_rows), k)
+    return _exact(items, k, tile_rows)
+
+
+def _packed(rows: pa.Table) -> tuple[bytes, bytes, bytes]:
+    """Ids, row indexes and vectors of some rows, in the order of their row indexes."""
+    rows = rows.sort_by("row_index")
+    matrix = np.stack(rows.column("embedding").to_numpy()).astype(np.float64) if rows.num_rows else np.zeros((0, 0))
+    return "\0".join(rows.column("image_id").to_pylist()).encode(), rows.column("row_index").to_numpy().astype(np.int64).tobytes(), matrix.tobytes()
+
+
+def _unpacked(ids: bytes, places: bytes, matrix: bytes) -> tuple[list[str], np.ndarray, np.ndarray]:
+    names = ids.decode().split("\0")
+    return names, np.frombuffer(places, dtype=np.int64), np.frombuffer(matrix, dtype=np.float64).reshape(len(names), -1)
+
+
+def _best(scores: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k best of each row, by score and then by place; ties beyond the k-th are not lost."""
+    if scores.shape[1] > 4 * k:
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        some = np.flatnonzero((scores >= least[:, None]).any(axis=0))
+        if len(some) < scores.shape[1] // 2:
+            return some[_best(scores[:, some], places[some], k)]
+        width = int((scores >= least[:, None]).sum(axis=1).max())
+        near = np.argpartition(-scores, min(width, scores.shape[1]) - 1, axis=1)[:, :width]
+        order = np.lexsort((places[near], -np.take_along_axis(scores, near, 1)))[:, :k]
+        return np.take_along_axis(near, order, 1)
+    return np.lexsort((np.broadcast_to(places, scores.shape), -scores))[:, :k]
+
+
+def _exact(items: DataFrame, k: int, tile_rows: int) -> DataFrame:
+    """Each tile meets all tiles in one task, itself first, so only the running best k of its rows are held."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        tile = rows.column("tile")[0].as_py()
+        return pa.table([pa.array([x], t) for x, t in zip((tile, *_packed(rows)), (pa.int64(), *[pa.binary()] * 3), strict=True)], names=["tile", "ids", "places", "matrix"])
+
+    cut = items.select("row_index", "image_id", "embedding", F.floor(F.col("row_index") / tile_rows).alias("tile"))
+    tiles = stage(cut.groupBy("tile").applyInArrow(pack, f"tile long, {_TILE}"), "tiles")
+    every = tiles.agg(F.sort_array(F.collect_list("tile")).alias("every")).first()["every"]
+    if not every:
+        return items.sparkSession.createDataFrame([], NEIGHBORS)
+    met = tiles.withColumn("query", F.explode(F.lit(every)))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = sent.value
+        own, held = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own, index = batch.column("image_id").to_pylist(), batch.column("row_index").to_numpy()
-            scores = queries @ np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).T
-            best = np.lexsort((np.broadcast_to(index, scores.shape), -scores))[:, :k]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.array(ids, dtype=object), best.shape[1])),
-                    pa.array([own[j] for j in best.ravel()], pa.string()),
-                    pa.array(index[best.ravel()]),
-                    pa.array(np.take_along_axis(scores, best, 1).ravel()),
-                ],
-                names=["image_id", "neighbor_id", "neighbor_index", "score"],
-            )
-
-    return items.select("image_id", "row_index", "embedding").mapInArrow(search, "image_id string, neighbor_id string, neighbor_index long, score double")
-
-
-def _blocks(items: DataFrame, size: int) -> Iterator[tuple[list[str], np.ndarray]]:
-    ids: list[str] = []
-    vectors: list[list[float]] = []
-    for image_id, vector in items.select("image_id", "embedding").toLocalIterator(prefetchPartitions=True):
-        ids.append(image_id)
-        vectors.append(vector)
-        if len(ids) == size:
-            yield ids, np.array(vectors)
-            ids, vectors = [], []
-    if ids:
-        yield ids, np.array(vectors)
+            for tile, query, *parts in zip(*(batch.column(i) for i in range(5)), strict=True):
+                names, places, matrix = _unpacked(*(x.as_py() for x in parts))
+                if tile.as_py() == query.as_py():
+                    if held:
+                        yield _answers(own[0], *held)
+                    own, held = (names, matrix), None
+                scores = own[1] @ matrix.T
+                best = _best(scores, places, k)
+                found = np.array(names, dtype=object)[best], places[best], np.take_along_axis(scores, best, 1)
+                if held:
+                    found = tuple(np.concatenate(x, axis=1) for x in zip(held, found, strict=True))
+                    order = np.lexsort((found[1], -found[2]))[:, :k]
+                    found = tuple(np.take_along_axis(x, order, 1) for x in found)
+                held = found
+        if held:
+            yield _answers(own[0], *held)
+
+    placed = met.select("tile", "query", "ids", "places", "matrix").repartition(F.col("query")).sortWithinPartitions("query", F.col("tile") != F.col("query"), "tile")
+    return placed.mapInArrow(search, NEIGHBORS)
+
+
+def _answers(ids: list[str], names: np.ndarray, places: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    width = names.shape[1]
+    columns = [np.repeat(np.array(ids, dtype=object), width), names.ravel(), scores.ravel(), np.tile(np.arange(1, width + 1, dtype=np.int32), len(ids))]
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2]), pa.array(columns[3])], names=["image_id", "neighbor_id", "score", "rank"])
 
 
 def _merge(scored: DataFrame, k: int) -> DataFrame:
@@ -88,38 +132,68 @@ def _merge(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("image_id", "neighbor_id", "score", "rank")
 
 
-def _ivf(items: DataFrame, k: int, lists: int, probes: int, seed: int, recall: float) -> DataFrame:
-    model = KMeans(k=lists, seed=seed, maxIter=10).fit(items.orderBy(F.xxhash64("image_id"), "row_index").limit(lists * 256).select(array_to_vector("embedding").alias("features")))
-    centers = np.array(model.clusterCenters())
-    n = min(max(probes, _probes_for(items, centers, k, recall)), len(centers))
+def centres(items: DataFrame, lists: int, seed: int = 42) -> np.ndarray:
+    """Centres of the lists, fitted on ``TRAIN_EACH`` items a list, taken by a hash of their ids."""
+    sample = items.orderBy(F.xxhash64("image_id"), "row_index").limit(lists * TRAIN_EACH)
+    return np.array(KMeans(k=lists, seed=seed, maxIter=10).fit(sample.select(array_to_vector("embedding").alias("features"))).clusterCenters())
 
-    def nearest(batches: Iterator[pa.RecordBatch], n: int = n) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False))
-            gaps = (centers**2).sum(1) - 2 * vectors @ centers.T
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.argsort(gaps, axis=1, kind="stable")[:, :n].tolist(), pa.list_(pa.int32()))], names=[*batch.schema.names, "lists"])
 
-    listed = stage(items.mapInArrow(nearest, "row_index long, image_id string, embedding array<double>, lists array<int>"), "lists")
-    queries = listed.select("image_id", F.col("embedding").alias("query"), F.explode("lists").alias("list_id"))
-    base = listed.select(F.col("image_id").alias("neighbor_id"), F.col("row_index").alias("neighbor_index"), "embedding", F.col("lists")[0].alias("list_id"))
-    dot = F.aggregate(F.zip_with("query", "embedding", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return queries.join(base, "list_id").select("image_id", "neighbor_id", "neighbor_index", dot.alias("score"))
+def _ivf(items: DataFrame, k: int, lists: int, probes: int, seed: int, recall: float, tile_rows: int) -> DataFrame:
+    """Scores of each item against the lists it probes; lists and their queries are cut into tiles, so none is one task's."""
+    around = centres(items, lists, seed)
+    n = min(max(probes, _probes_for(items, around, k, recall)), len(around))
 
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False))
+                order = np.argsort((around**2).sum(1) - 2 * vectors @ around.T, axis=1, kind="stable")[:, :n]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(order.tolist(), pa.list_(pa.int32()))], names=[*batch.schema.names, "lists"])
 
-def _probes_for(items: DataFrame, centers: np.ndarray, k: int, recall: float) -> int:
+    listed = stage(items.mapInArrow(nearest, "row_index long, image_id string, embedding array<double>, lists array<int>"), "lists")
+    asked = listed.select(F.explode("lists").alias("list_id"), F.lit(1).alias("asked"), F.lit(0).alias("held")).unionByName(listed.select(F.col("lists")[0].alias("list_id"), F.lit(0).alias("asked"), F.lit(1).alias("held")))
+    sizes = stage(asked.groupBy("list_id").agg(F.ceil(F.sum("asked") / tile_rows).alias("query_tiles"), F.ceil(F.sum("held") / tile_rows).alias("tiles")).where("tiles > 0"), "list_sizes")
+    part = lambda name, seed: F.pmod(F.xxhash64("image_id", F.lit(seed)), F.col(name)).alias(name[:-1])
+    base = listed.withColumn("list_id", F.col("lists")[0]).join(F.broadcast(sizes), "list_id")
+    base = base.select("list_id", part("tiles", 1), F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_tiles") - 1)).alias("query_tile"), "row_index", "image_id", "embedding")
+    asking = listed.withColumn("list_id", F.explode("lists")).join(F.broadcast(sizes), "list_id")
+    asking = asking.select("list_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"), part("query_tiles", 2), F.col("image_id").alias("query_id"), F.col("embedding").alias("query"))
+
+    def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
+        if not queries.num_rows or not rows.num_rows:
+            return pa.table([pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=["image_id", "neighbor_id", "neighbor_index", "score"])
+        names, places = np.array(rows.column("image_id").to_pylist(), dtype=object), rows.column("row_index").to_numpy()
+        scores = np.stack(queries.column("query").to_numpy()) @ np.stack(rows.column("embedding").to_numpy()).T
+        best = _best(scores, places, k)
+        ids = np.repeat(np.array(queries.column("query_id").to_pylist(), dtype=object), best.shape[1])
+        return pa.table([pa.array(ids, pa.string()), pa.array(names[best].ravel(), pa.string()), pa.array(places[best].ravel()), pa.array(np.take_along_axis(scores, best, 1).ravel())], names=["image_id", "neighbor_id", "neighbor_index", "score"])
+
+    on = ("list_id", "tile", "query_tile")
+    return asking.groupBy(*on).cogroup(base.groupBy(*on)).applyInArrow(search, _FOUND)
+
+
+def _probes_for(items: DataFrame, around: np.ndarray, k: int, recall: float) -> int:
     """The fewest lists in which a hashed sample of items finds the share ``recall`` of its exact k neighbours."""
     sample = items.orderBy(F.xxhash64("image_id", F.lit(1)), "row_index").limit(SAMPLE_ROWS).select("image_id", "embedding").collect()
     if not sample:
         return 1
-    of = {r["image_id"]: np.array(r["embedding"]) for r in sample}
-    best = _merge(_scan(items, list(of), np.stack(list(of.values())), k), k).select("image_id", "neighbor_id")
-    found = best.join(items.select(F.col("image_id").alias("neighbor_id"), "embedding"), "neighbor_id").select("image_id", "embedding").collect()
-    gaps = lambda x: (centers**2).sum(1) - 2 * x @ centers.T
-    places = np.argsort(np.argsort(gaps(np.stack([of[r["image_id"]] for r in found])), axis=1, kind="stable"), axis=1)
-    lists = gaps(np.array([r["embedding"] for r in found])).argmin(1)
-    needed = np.sort(places[np.arange(len(found)), lists]) + 1
+    own = np.array([r["embedding"] for r in sample])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors, places = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)), batch.column("row_index").to_numpy()
+                scores = own @ vectors.T
+                best = _best(scores, places, k)
+                at = ((around**2).sum(1) - 2 * vectors @ around.T).argmin(1)
+                columns = [np.repeat(np.arange(len(own)), best.shape[1]), places[best].ravel(), np.take_along_axis(scores, best, 1).ravel(), at[best].ravel()]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "place", "score", "list_id"])
+
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "place")
+    found = items.select("row_index", "embedding").mapInArrow(scan, "query long, place long, score double, list_id long")
+    rows = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "list_id").collect()
+    turn = np.argsort(np.argsort((around**2).sum(1) - 2 * own @ around.T, axis=1, kind="stable"), axis=1)
+    needed = np.sort([turn[r["query"], r["list_id"]] for r in rows]) + 1
     return int(needed[int(np.ceil(recall * len(needed))) - 1])
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwell.config import AutoDecisionConfig, QualityConfig, ReviewConfig, SamplingConfig
+from siftwell.config import Section, section
 from siftwell.functions.scalars import sampled, stable_id
 from siftwell.operators import cluster, decide, export, ingest, prelabel, quality, review, vectors
 from siftwell.plans.staging import stage
@@ -165,7 +165,7 @@ def _assets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, d: str) -> DataFrame:
-    return quality.apply_rules(_assets(spark, d), QualityConfig(max_file_size_bytes=20000))
+    return quality.apply_rules(_assets(spark, d), section("quality", max_file_size_bytes=20000))
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
@@ -211,13 +211,13 @@ def _annotations(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = _read(spark, d, "embeddings").select(i.alias("row_index"), F.concat(F.lit("img"), i).alias("image_id"), F.concat(F.lit("vec://"), i).alias("uri"), status.alias("quality_status"), F.array().cast("array<string>").alias("quality_reasons"))
     groups, labels = _groups(spark, d), _prelabels(spark, d)
     some = labels.join(rows.where(F.col("row_index") % 37 != 5), "image_id", "left_semi")
-    config = AutoDecisionConfig(min_margin=0.75, min_cluster_main_label_ratio=0.6)
+    config = section("auto_decision", min_margin=0.75, min_cluster_main_label_ratio=0.6)
     clusters = _clusters(spark, d)
     decided = _decide(rows, labels, some, clusters, groups, config)
     return stage(decide.annotations(decided, RUN), "annotations"), groups
 
 
-def _decide(rows: DataFrame, labels: DataFrame, some: DataFrame, clusters: DataFrame, groups: DataFrame, config: AutoDecisionConfig) -> DataFrame:
+def _decide(rows: DataFrame, labels: DataFrame, some: DataFrame, clusters: DataFrame, groups: DataFrame, config: Section) -> DataFrame:
     """As in the oracle, statistics see all prelabels and decisions some of them."""
     blank = labels.join(some.select("image_id"), "image_id", "left_anti").select("image_id")
     decided = decide.decide(rows, labels, clusters, groups, config, HIGH_RISK)
@@ -242,7 +242,20 @@ def manifest_build(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("SELECT row_index, image_id, uri FROM ranked WHERE k = 1", "ranked")
 def ingest_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.first_wins(_document_rows(spark, d))[0].select("row_index", "image_id", "uri")
+    return ingest.first_by_uri(_document_rows(spark, d))[0].select("row_index", "image_id", "uri")
+
+
+@_query(
+    """WITH RECURSIVE t AS (SELECT doc_id AS row_index, 'd' || (doc_id * 7 % 97) AS image_id, 'u' || ((doc_id // 3) * 5 % 61) AS uri, row_number() OVER (ORDER BY doc_id) AS n FROM documents),
+    walk AS (SELECT 0::BIGINT AS n, []::VARCHAR[] AS ids, []::VARCHAR[] AS uris, []::BIGINT[] AS kept UNION ALL
+    SELECT t.n, CASE WHEN new THEN list_append(ids, t.image_id) ELSE ids END, CASE WHEN new THEN list_append(uris, t.uri) ELSE uris END, CASE WHEN new THEN list_append(kept, t.row_index) ELSE kept END
+    FROM walk JOIN (SELECT *, n - 1 AS before FROM t) t ON t.before = walk.n, LATERAL (SELECT NOT list_contains(ids, t.image_id) AND NOT list_contains(uris, t.uri) AS new))
+    SELECT row_index, image_id, uri FROM t WHERE row_index IN (SELECT unnest(kept) FROM walk WHERE n = (SELECT max(n) FROM t))"""
+)
+def ingest_first_wins(spark: SparkSession, d: str) -> DataFrame:
+    i = F.col("doc_id")
+    rows = _read(spark, d, "documents").select(i.alias("row_index"), F.concat(F.lit("d"), i * 7 % 97).alias("image_id"), F.concat(F.lit("u"), F.floor(i / 3) * 5 % 61).alias("uri"))
+    return ingest.first_wins(rows)[0].select("row_index", "image_id", "uri")
 
 
 @_query("SELECT row_index, image_id, uri, 'duplicate_input' AS error_code FROM ranked WHERE k > 1", "ranked")
@@ -371,7 +384,7 @@ def decision_reason_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def _queue(spark: SparkSession, d: str) -> DataFrame:
     rows, groups = _annotations(spark, d)
-    return review.review_queue(rows, groups, RUN, ReviewConfig(sampling=SamplingConfig(auto_accept_qa_ratio=0.2)))
+    return review.review_queue(rows, groups, RUN, section("review", sampling={"auto_accept_qa_ratio": 0.2}))
 
 
 _TASK = "review_task_id, image_id, rec AS recommended_label, q AS quality_status, st AS final_status, priority::INT AS priority, array_to_string(rr, ',') AS reasons"

@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from siftwell.config import PipelineConfig, expanded
+from siftwell import config
+from siftwell.config import expanded
 from siftwell.functions import imaging
 from siftwell.operators import ingest, prelabel, review, vectors
 from siftwell.operators.graph import connected_components
@@ -16,10 +17,50 @@ from siftwell.serve import answer
 def test_config(monkeypatch):
     monkeypatch.setenv("NAME", "x")
     assert expanded({"a": ["${NAME}", "${UNSET_NAME}"]}) == {"a": ["x", "${UNSET_NAME}"]}
-    with pytest.raises(ValueError):
-        PipelineConfig.model_validate({"project": {"id": "a", "dataset_id": "b"}, "input": {"type": "manifest"}})
-    with pytest.raises(ValueError):
-        PipelineConfig.model_validate({"project": {"id": "a", "dataset_id": "b", "odd": 1}, "input": {"local_dir": "x"}})
+    needed = {"project": {"id": "a", "dataset_id": "b"}, "input": {"type": "local_dir", "local_dir": "x"}, "label_schema": {"schema_id": "s", "labels": [{"id": "a", "name": "A"}]}}
+    made = config.checked(needed)
+    assert [x.id for x in made.label_schema.labels] == ["a", "unknown"] and made.clustering.outlier.percentile_threshold == 99.0
+    assert config.checked(made.plain()).plain() == made.plain()
+    assert config.checked(needed | {"runtime": {"max_in_memory_rows": "7"}, "quality": {"allowed_formats": ["png"]}}).quality.allowed_formats == ["PNG"]
+    faulty = [
+        ({"input": {"type": "manifest"}}, "input.manifest_uri"),
+        ({"project": {"id": "a", "dataset_id": "b", "odd": 1}}, "project.odd: unknown"),
+        ({"runtime": {"quality_check_workers": 0}}, "below 1"),
+        ({"storage": {"artifact_store": {"type": "s3"}}}, "local stores"),
+        ({"review": {"enabled": False}}, "review.enabled"),
+        ({"quality": {"blur": {"action": "burn"}}}, "choices"),
+        ({"label_schema": {"schema_id": "s", "labels": [{"id": "a", "name": "A"}] * 2}}, "more than once"),
+        ({"thumbnail": {"size": "big"}, "quality": {"min_width": 1.5}}, "whole number"),
+    ]
+    for change, fault in faulty:
+        with pytest.raises(ValueError, match=fault):
+            config.checked(needed | change)
+
+
+#: Every key of a configuration file that users have.
+FILE = """
+project: {id: local_image_classification, name: x, dataset_id: local_dev_dataset, run_name: local_mvp}
+input: {type: object_prefix, object_prefix_uri: "file:///data/images", recursive: true, extensions: [.jpg], compute_content_hash: false}
+storage: {artifact_store: {type: local, root_uri: "file:///data/artifacts"}}
+label_schema: {source: yaml, schema_id: v1, task_type: single_label, labels: [{id: product, name: p, aliases: [], description: d, high_risk: false}], allow_unknown: true, unknown_label: unknown}
+quality: {min_width: 64, max_file_size_bytes: null, blur: {enabled: true, edge_variance_threshold: 18.0, action: needs_review}, low_information: {enabled: true, channel_stddev_threshold: 4.0, action: quarantine}}
+clustering: {algorithm: minibatch_kmeans, num_clusters: auto, outlier: {enabled: true, method: distance_to_centroid, percentile_threshold: 99.0}, duplicate_detection: {embedding_threshold: 0.985, phash_hamming_threshold: 4}, representative: {samples_per_cluster: 5}}
+vector_index: {backend: faiss, metric: cosine, index_type: hnsw_flat, top_k: 100, hnsw: {M: 32, ef_construction: 200, ef_search: 128}, rerank: {enabled: true, use_original_vectors: true, final_top_k: 20}, save_index: true, allow_exact_fallback: true}
+prelabel: {provider: multimodal_api, provider_config: {mock: true}, top_k: 3, prompt_version: null}
+review: {enabled: true, batch_actions: {allow_duplicate_group_accept: true, allow_cluster_accept: false, max_batch_size: 500}}
+acceptance: {auto_accept_precision_target: 0.98, final_precision_target: 0.99, min_samples_per_core_label: 50, report_only: true}
+output: {valid_only_file: valid_annotations.jsonl, full_file: final_annotations.jsonl}
+"""
+
+
+def test_configuration_files_load(tmp_path):
+    (tmp_path / "c.yaml").write_text(FILE)
+    made = config.load(tmp_path / "c.yaml")
+    assert made.prelabel.prompt_version is None and made.embedding.provider == "simple_color" and made.review.enabled
+    config.dump(made, tmp_path / "out" / "d.yaml")
+    assert config.load(tmp_path / "out" / "d.yaml").plain() == made.plain()
+    with pytest.raises(AttributeError):
+        made.review.enabled = False
 
 
 def test_first_wins(spark):
@@ -27,6 +68,26 @@ def test_first_wins(spark):
     kept, gone = ingest.first_wins(spark.createDataFrame(rows, "row_index long, image_id string, uri string"))
     assert sorted(r[0] for r in kept.collect()) == [0, 2, 4]
     assert sorted(r[0] for r in gone.collect()) == [1, 3, 5]
+    rng, ids, uris, expected = random.Random(3), set(), set(), []
+    rows = [(i, f"i{rng.randrange(60)}", "hot" if i % 3 == 0 else f"u{rng.randrange(80)}") for i in range(300)]
+    for i, image_id, uri in rows:
+        if image_id not in ids and uri not in uris:
+            expected.append(i)
+            ids.add(image_id)
+            uris.add(uri)
+    for at_once in (0, 20, 1000):
+        kept, gone = ingest.first_wins(spark.createDataFrame(rows, "row_index long, image_id string, uri string"), at_once)
+        assert sorted(r[0] for r in kept.collect()) == expected and gone.count() == 300 - len(expected)
+
+
+def test_percentile(spark):
+    from siftwell.operators import cluster
+
+    values = [random.Random(2).random() for _ in range(101)]
+    rows = spark.createDataFrame([(v,) for v in [*values, None]], "x double")
+    for share in (0.0, 0.37, 0.99, 1.0):
+        assert cluster.percentile_of(rows, "x", share) == pytest.approx(np.percentile(values, 100 * share))
+    assert cluster.percentile_of(rows.where("x > 2"), "x", 0.5) is None
 
 
 def test_components(spark):
@@ -69,15 +130,19 @@ def test_http_failures(spark):
             raise OSError("down")
         return '{"candidates":[{"label":"x","confidence":0.7}]}'
 
-    got = {r["image_id"]: (r["status"], len(r["candidates"]), r["error_code"]) for r in prelabel.http(items, ["x"], send, qps=0, retries=1, pause=lambda s: None).collect()}
+    got = {r["image_id"]: (r["status"], len(r["candidates"]), r["error_code"]) for r in prelabel.http(items, ["x"], lambda: send, qps=0, retries=1, pause=lambda s: None).collect()}
     assert got == {"a": ("failed", 0, "OSError"), "b": ("succeeded", 1, None)}
 
 
 def test_ivf_with_all_lists_is_exact(spark):
     rng = np.random.default_rng(1)
     df = vectors.normalized(spark.createDataFrame([(i, f"i{i}", [float(x) for x in rng.normal(size=8)]) for i in range(60)], "row_index long, image_id string, embedding array<double>"))
-    exact = {(r[0], r[1]) for r in vectors.top_k(df, 5, block_rows=7).collect()}
-    assert {(r[0], r[1]) for r in vectors.top_k(df, 5, "ivf", lists=4, probes=4).collect()} == exact
+    held = [(r["image_id"], np.array(r["embedding"])) for r in df.orderBy("row_index").collect()]
+    plain = {(a, b, i) for a, x in held for i, (b, _) in enumerate(sorted(held, key=lambda y: (-round(float(x @ y[1]), 12), int(y[0][1:])))[:5], 1)}
+    for tile_rows in (7, 1000):
+        assert {(r["image_id"], r["neighbor_id"], r["rank"]) for r in vectors.top_k(df, 5, "exact", tile_rows=tile_rows).collect()} == plain
+        assert {(r["image_id"], r["neighbor_id"], r["rank"]) for r in vectors.top_k(df, 5, "ivf", lists=4, probes=4, tile_rows=tile_rows).collect()} == plain
+    assert vectors.top_k(df.limit(0), 5).count() == 0
 
 
 def test_images():
@@ -95,13 +160,13 @@ def _config(tmp_path, **runtime):
     images.mkdir()
     for i, colour in enumerate([(255, 0, 0), (250, 10, 10), (0, 255, 0), (0, 0, 255)]):
         (images / f"{i}.png").write_bytes(imaging.encode_png(np.full((96, 96, 3), colour, dtype=np.uint8)))
-    return PipelineConfig.model_validate(
+    return config.checked(
         {
             "project": {"id": "p", "dataset_id": "d"},
             "input": {"type": "local_dir", "local_dir": str(images)},
             "storage": {"artifact_store": {"root_uri": str(tmp_path / "store")}},
-            "quality": {"min_file_size_bytes": 10, "blur": {"enabled": False, "threshold": 1, "action": "keep"}, "low_information": {"enabled": False, "threshold": 1, "action": "keep"}},
-            "label_schema": {"labels": [{"id": "product"}, {"id": "defect", "high_risk": True}]},
+            "quality": {"min_file_size_bytes": 10, "blur": {"enabled": False}, "low_information": {"enabled": False}},
+            "label_schema": {"schema_id": "s", "labels": [{"id": "product", "name": "P"}, {"id": "defect", "name": "D", "high_risk": True}]},
             "review": {"sampling": {"auto_accept_qa_ratio": 1.0}},
             "clustering": {"num_clusters": 2},
             "runtime": runtime,
