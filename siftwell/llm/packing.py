@@ -57,13 +57,14 @@ class Encoder:
     """Token ids of texts, by the tokenizer that a ``tokenizers`` file describes.
 
     A byte-level BPE whose merges rank as its ids do is run by tiktoken, which gives the same ids in a third of the
-    time; any other tokenizer is run by ``tokenizers``. Special tokens' strings in a text are ordinary text.
+    time; any other tokenizer, and any text that holds the string of an added token, is run by ``tokenizers`` itself.
     """
 
     def __init__(self, json_text: str, fast: bool = True) -> None:
         self.tokenizer = Tokenizer.from_str(json_text)
-        self.tokenizer.encode_special_tokens = True
-        self.ranked = self._ranked(json.loads(json_text)) if fast else None
+        spec = json.loads(json_text)
+        self.added = [x["content"] for x in spec.get("added_tokens", [])]
+        self.ranked = self._ranked(spec) if fast else None
 
     @staticmethod
     def _ranked(spec: dict) -> tiktoken.Encoding | None:
@@ -80,14 +81,14 @@ class Encoder:
         shown = [b for b in range(256) if chr(b).isprintable() and b not in (0x20, 0xA0, 0xAD)]
         hidden = [b for b in range(256) if b not in shown]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-        special = {x["content"] for x in spec.get("added_tokens", []) if x["special"]}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in special}
+        added = {x["content"] for x in spec.get("added_tokens", [])}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in added}
         return tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
         if self.ranked:
-            return [np.array(self.ranked.encode_ordinary(t), dtype=np.uint32) for t in texts]
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids if any(x in t for x in self.added) else self.ranked.encode_ordinary(t), dtype=np.uint32) for t in texts]
         return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
