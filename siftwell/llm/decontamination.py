@@ -4,11 +4,13 @@ Items and documents are lower-cased; words are runs of ASCII letters and digits
 is the set of its five-word shingles (an item of one to four words has its whole word sequence as its only shingle). A
 document contains an item if at least ``threshold`` of the item's shingles occur in it.
 
-Items are not partitioned by size: sketches are in one table, keyed by shingle length. The sketch of n shingles keeps the ``n - ceil(threshold * n) + 1``
-smallest min-hash values of each item. If a document holds ``threshold`` of an item's shingles it misses at most
-``n - ceil(threshold * n)`` of them, so at least one sketch value is among the document's: the search has no false
-negatives, whatever the lengths. Each document is probed with every rolling window, whole; candidates are then verified
-on the words themselves.
+Items are partitioned by size: a partition holds the items of one shingle length whose numbers of shingles have the same
+power of two, with a sketch table and a least match of its own, the fewest shingles that any of its items needs. A
+document is probed for the partitions only whose least match its windows reach. The sketch of n shingles keeps the
+``n - ceil(threshold * n) + 1`` smallest min-hash values of an item. If a document holds ``threshold`` of an item's
+shingles it misses at most ``n - ceil(threshold * n)`` of them, so at least one sketch value is among the document's:
+the search has no false negatives, whatever the lengths. Signatures of whole documents could not find a short item in a
+long document; each document is probed with every rolling window, whole, and candidates are then verified on the words.
 
 The benchmark is the query set. It is read in blocks of at most ``block_items`` items and ``block_bytes`` bytes (a longer
 item is a block of its own), the documents once per block, so what is sent to executors has a bound that does not depend
@@ -24,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -66,12 +69,22 @@ def _windows(words: W.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, W.range_hashes(sums, at, at + size, W.WORD_BASE)
 
 
+@dataclass
+class Partition:
+    """Items of about one size: the least match of any, and the sorted sketch values with the items that have each."""
+
+    least: int
+    values: np.ndarray
+    holders: list[list[int]]
+
+
 class Sketches:
-    """The sketches of one block of items: for each shingle length, sorted values and the items that have each."""
+    """The sketches of one block of items, by shingle length and by the power of two of the number of shingles."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], threshold: float, size: int) -> None:
-        self.size, self.items = size, []
-        found: dict[int, dict[int, list[int]]] = {}
+        self.items = []
+        found: dict[tuple[int, int], dict[int, list[int]]] = {}
+        least: dict[tuple[int, int], int] = {}
         for item_id, text in items:
             words = words_of(text)
             shingles = shingles_of(words, size)
@@ -79,24 +92,32 @@ class Sketches:
                 continue
             need = max(1, math.ceil(round(threshold * len(shingles), 9)))
             length = min(size, len(words))
-            at, hashes = _windows(W.split(pa.array([" ".join(words)]), W.NOT_ALNUM), length)
-            sketch = np.unique(hashes)[: len(shingles) - need + 1]
-            for value in sketch.tolist():
-                found.setdefault(length, {}).setdefault(value, []).append(len(self.items))
+            _, hashes = _windows(W.split(pa.array([" ".join(words)]), W.NOT_ALNUM), length)
+            at = length, len(shingles).bit_length()
+            least[at] = min(need, least.get(at, need))
+            for value in np.unique(hashes)[: len(shingles) - need + 1].tolist():
+                found.setdefault(at, {}).setdefault(value, []).append(len(self.items))
             self.items.append((item_id, shingles, need))
-        self.values = {k: np.array(sorted(v), dtype=np.uint64) for k, v in found.items()}
-        self.holders = {k: [v[x] for x in sorted(v)] for k, v in found.items()}
+        self.partitions: dict[int, list[Partition]] = {}
+        for at in sorted(found):
+            values = sorted(found[at])
+            self.partitions.setdefault(at[0], []).append(Partition(least[at], np.array(values, dtype=np.uint64), [found[at][v] for v in values]))
+        self.any = {length: np.unique(np.concatenate([p.values for p in parts])) for length, parts in self.partitions.items()}
 
     def candidates(self, words: W.Words) -> set[tuple[int, int]]:
         """Pairs of a text's position and an item whose sketch meets it."""
         out = set()
-        for length, values in self.values.items():
+        for length, parts in self.partitions.items():
             at, hashes = _windows(words, length)
-            hit = np.flatnonzero(W.member(hashes, values))
-            docs = np.searchsorted(words.first, at[hit], "right") - 1
-            slots = np.searchsorted(values, hashes[hit])
-            for doc, slot in set(zip(docs.tolist(), slots.tolist(), strict=True)):
-                out.update((doc, item) for item in self.holders[length][slot])
+            docs = np.searchsorted(words.first, at, "right") - 1
+            room = np.maximum(np.diff(words.first) - length + 1, 0)
+            hit = np.flatnonzero((room[docs] >= min(p.least for p in parts)) & W.member(hashes, self.any[length]))
+            docs, hashes = docs[hit], hashes[hit]
+            for part in parts:
+                held = np.flatnonzero((room[docs] >= part.least) & W.member(hashes, part.values))
+                slots = np.searchsorted(part.values, hashes[held])
+                for doc, slot in set(zip(docs[held].tolist(), slots.tolist(), strict=True)):
+                    out.update((doc, item) for item in part.holders[slot])
         return out
 
     def matches(self, texts: pa.Array) -> Iterator[tuple[int, int, int]]:
