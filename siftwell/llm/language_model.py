@@ -7,17 +7,20 @@ logarithm; the second is exact. Each text begins in a start context and ends in
 Neither vocabulary nor n-grams are ever in one place:
 
 1. Rows are dealt into chunks by a hash. A chunk sends its distinct words with their training counts to the words'
-   buckets; a bucket sums, numbers its training words, and answers each chunk with counts and numbers.
+   buckets, of which there are a quarter as many as chunks; a bucket sums, numbers its training words, and answers each
+   chunk that asked with counts and numbers. Totals are summed over buckets and sent to each chunk once.
 2. A chunk sends its distinct bigrams of known words to the bigrams' shards, by context. A frequent context is cut into
    parts by its successors, in proportion to its count, so no shard is much larger than another. The shard builds its
    trie from the training counts, memory-mapped in the task's temporary folder, looks up every bigram that was sent by
    successor search within its context, and answers with one byte for each.
 3. The chunk adds up its texts' scores.
 
-All counts are over all rows. What is sent is distinct per chunk and compressed; all uses of the texts read one exchange.
+All counts are over all rows. What is sent is distinct per chunk and compressed, and nothing is sent where there is
+nothing to say, so messages never outnumber distinct words and bigrams of chunks; all uses of the texts read one exchange.
 
 Null texts count as empty (they are one end token). A null id is not held out, as it has no remainder. Repeated rows are
-counted and scored as often as they occur. Without any training text all counts are zero. Other columns are ignored.
+counted and scored as often as they occur. Texts of any length are read whole, each in one task. Without any training text
+all counts are zero; an empty table gives an empty result. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,12 +42,15 @@ from siftwell.llm.tables import row_key, table, text_or_empty
 from siftwell.plans.staging import partitions_for
 
 CHUNK_BYTES = 8 << 20
+#: Chunks' worth of texts whose words or bigrams one bucket holds.
+BUCKETS_EACH = 4
 SMOOTHING = 500.0
 FOLDS, HELD_FOLD = 7, 2
 END = W.mix(np.array([0x454E44], dtype=np.uint64))[0]
 LEVELS, LOWEST = 255, -12.0
 _ID_BITS = 40
 _MESSAGE = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("stage", pa.int32()), ("keys", pa.binary()), ("numbers", pa.binary()), ("extra", pa.binary()), ("total", pa.int64())])
+_WORDS, _PAIRS, _TOTALS = range(3)
 MESSAGE = "part int, chunk int, stage int, keys binary, numbers binary, extra binary, total long"
 
 
@@ -103,39 +109,39 @@ class Chunk:
 
 
 def ask_words(group: pa.Table, n_parts: int) -> pa.Table:
-    """To each bucket, even for no words, so that it can answer with its totals."""
+    """To each bucket that has any of the chunk's words: the words and their training counts."""
     own = Chunk.of(group)
-    ranges = {k: (a, b) for k, a, b in by_bucket(own.vocabulary, n_parts)}
-    rows = []
-    for k in range(n_parts):
-        a, b = ranges.get(k, (0, 0))
-        rows.append((k, own.chunk, 0, packed(own.vocabulary[a:b]) if b else b"", _plain(own.trained[a:b]) if b else b"", None, None))
-    return _messages(rows)
+    return _messages([(k, own.chunk, _WORDS, packed(own.vocabulary[a:b]), _plain(own.trained[a:b]), None, None) for k, a, b in by_bucket(own.vocabulary, n_parts)])
 
 
 def answer_words(bucket: pa.Table) -> pa.Table:
-    """Counts, and numbers of the words that training has; ``total``: tokens, and in ``extra`` words, of the bucket."""
-    none = np.zeros(0, dtype=np.uint64)
-    keys = [unpacked(x) if x else none for x in bucket.column("keys").to_pylist()]
-    counts = [_plain_back(x) if x else none for x in bucket.column("numbers").to_pylist()]
+    """Counts, and numbers of the words that training has, to each chunk."""
+    keys = [unpacked(x) for x in bucket.column("keys").to_pylist()]
+    counts = [_plain_back(x) for x in bucket.column("numbers").to_pylist()]
     every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.zeros(len(every), dtype=np.uint64)
     np.add.at(sums, inverse, np.concatenate(counts))
     numbers = np.cumsum(sums > 0).astype(np.uint64) - (sums > 0)
-    total, words = int(sums.sum()), int((sums > 0).sum())
-    rows, at = [], 0
     part = bucket.column("part")[0].as_py()
+    rows, at = [], 0
     for chunk, mine in zip(bucket.column("chunk").to_pylist(), keys, strict=True):
         here = inverse[at : at + len(mine)]
         at += len(mine)
         known = here[sums[here] > 0]
-        rows.append((part, chunk, 0, _plain(sums[here]) if len(here) else b"", packed(numbers[known]) if len(known) else b"", words.to_bytes(8, "little"), total))
+        rows.append((part, chunk, _WORDS, _plain(sums[here]), packed(numbers[known]) if len(known) else b"", None, None))
     return _messages(rows)
 
 
+def bucket_totals(bucket: pa.Table) -> pa.Table:
+    """Training tokens and distinct training words of a bucket."""
+    words = [unpacked(x)[_plain_back(c) > 0] for x, c in zip(bucket.column("keys").to_pylist(), bucket.column("numbers").to_pylist(), strict=True)]
+    n = sum(int(_plain_back(c).sum()) for c in bucket.column("numbers").to_pylist())
+    return pa.table([pa.array([n], pa.int64()), pa.array([len(np.unique(np.concatenate(words)))], pa.int64())], names=["n", "v"])
+
+
 @dataclass
 class Known:
-    """What the buckets know of a chunk's words: counts, numbers (by place; 0 counts have none), and the totals."""
+    """What the buckets know of a chunk's words: counts, numbers (by place; 0 counts have none); and the corpus' totals."""
 
     counts: np.ndarray
     numbers: np.ndarray
@@ -143,14 +149,15 @@ class Known:
     v: int
 
     @staticmethod
-    def of(answers: list[dict]) -> Known:
-        answers = sorted(answers, key=lambda x: x["part"])
-        counts = np.concatenate([_plain_back(x["keys"]) for x in answers if x["keys"]]).astype(np.int64)
+    def of(replies: list[dict]) -> Known:
+        answers = sorted((x for x in replies if x["stage"] == _WORDS), key=lambda x: x["part"])
+        totals = next(x for x in replies if x["stage"] == _TOTALS)
+        counts = np.concatenate([_plain_back(x["keys"]) for x in answers]).astype(np.int64)
         found = [unpacked(x["numbers"]) + np.uint64(x["part"] << _ID_BITS) for x in answers if x["numbers"]]
         numbers = np.zeros(len(counts), dtype=np.uint64)
         if found:
             numbers[counts > 0] = np.concatenate(found)
-        return Known(counts, numbers, sum(x["total"] for x in answers), sum(int.from_bytes(x["extra"], "little") for x in answers))
+        return Known(counts, numbers, totals["total"], int.from_bytes(totals["extra"], "big"))
 
 
 @dataclass
@@ -215,7 +222,7 @@ def ask_bigrams(group: pa.Table, answers: pa.Table, n_parts: int) -> pa.Table:
         steps[1:] -= words[:-1]
         steps[new] = words[new]
         meta = _plain(np.concatenate((widths.astype(np.uint64), pairs.context_counts[heads].astype(np.uint64))))
-        rows.append((shard, own.chunk, 1, packed(numbers[heads]), meta, _plain(np.concatenate((steps, pairs.trained[a:b].astype(np.uint64)))), None))
+        rows.append((shard, own.chunk, _PAIRS, packed(numbers[heads]), meta, _plain(np.concatenate((steps, pairs.trained[a:b].astype(np.uint64)))), None))
     return _messages(rows)
 
 
@@ -260,7 +267,7 @@ def answer_bigrams(shard: pa.Table, smoothing: float) -> pa.Table:
     for chunk, (_, widths, _, words, _), (rank, word) in zip(shard.column("chunk").to_pylist(), sent, local, strict=True):
         known = ids[np.minimum(word, n_ids - 1)] == words if len(ids) else np.zeros(len(words), dtype=bool)
         ranks = np.where(known, np.repeat(trie.rank(rank.astype(np.uint64)), widths), -1)
-        rows.append((part, chunk, 1, zstandard.compress(trie.lookup(ranks, word).tobytes(), 1), None, None, None))
+        rows.append((part, chunk, _PAIRS, zstandard.compress(trie.lookup(ranks, word).tobytes(), 1), None, None, None))
     trie.close()
     return _messages(rows)
 
@@ -269,9 +276,9 @@ def score(group: pa.Table, answers: pa.Table, n_parts: int, smoothing: float) ->
     if not group.num_rows:
         return RESULT.empty_table()
     replies = answers.to_pylist()
-    own, known = Chunk.of(group), Known.of([x for x in replies if x["stage"] == 0])
+    own, known = Chunk.of(group), Known.of(replies)
     pairs = Bigrams.of(own, known, n_parts)
-    codes = [np.frombuffer(zstandard.decompress(x["keys"]), dtype=np.uint8) for x in sorted((x for x in replies if x["stage"] == 1), key=lambda x: x["part"])]
+    codes = [np.frombuffer(zstandard.decompress(x["keys"]), dtype=np.uint8) for x in sorted((x for x in replies if x["stage"] == _PAIRS), key=lambda x: x["part"])]
     codes = np.concatenate([*codes, np.zeros(1, dtype=np.uint8)])
     size = float(known.n + known.v + 1)
     unigram = (known.counts[own.tokens] + 1) / size
@@ -305,16 +312,21 @@ RESULT = pa.schema(
 
 def score_texts(docs: DataFrame, smoothing: float = SMOOTHING, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    n = partitions_for(docs, chunk_bytes)
+    n, parts = partitions_for(docs, chunk_bytes), partitions_for(docs, BUCKETS_EACH * chunk_bytes)
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), text_or_empty(text_col).alias("text"))
     dealt = slim.select(F.pmod(row_key(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "held_out", "text")
-    asked = dealt.groupBy("chunk").applyInArrow(lambda t: ask_words(t, n), MESSAGE)
+    asked = dealt.groupBy("chunk").applyInArrow(lambda t: ask_words(t, parts), MESSAGE)
     words = asked.groupBy("part").applyInArrow(answer_words, MESSAGE)
-    pairs = dealt.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(lambda t, r: ask_bigrams(t, r, n), MESSAGE)
+    sums = asked.groupBy("part").applyInArrow(bucket_totals, "n long, v long").agg(F.sum("n").alias("total"), F.sum("v").alias("v")).where("total IS NOT NULL")
+    none = F.lit(None).cast("binary")
+    each = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("chunk")
+    totals = sums.select(F.lit(-1).alias("part"), each, F.lit(_TOTALS).alias("stage"), none.alias("keys"), none.alias("numbers"), F.unhex(F.lpad(F.hex("v"), 16, "0")).alias("extra"), "total")
+    words = words.unionByName(totals)
+    pairs = dealt.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(lambda t, r: ask_bigrams(t, r, parts), MESSAGE)
     codes = pairs.groupBy("part").applyInArrow(lambda t: answer_bigrams(t, smoothing), MESSAGE)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(words.unionByName(codes).groupBy("chunk")).applyInArrow(lambda t, r: score(t, r, n, smoothing), schema)
+    return dealt.groupBy("chunk").cogroup(words.unionByName(codes).groupBy("chunk")).applyInArrow(lambda t, r: score(t, r, parts, smoothing), schema)
 
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,11 +13,13 @@ windows. The steps:
 4. Windows that two or more places share come back, and the chunk cuts the words they cover.
 
 What is sent per chunk is distinct, so a passage that a third of all rows share costs one entry in each chunk, never a
-pair of rows. No window is dropped or sampled. Every use of the texts reads one exchange.
+pair of rows. There are a quarter as many buckets as chunks, and nothing is sent where there is nothing to say, so messages
+never outnumber the distinct windows of chunks. No window is dropped or sampled. Every use of the texts reads one exchange.
 
 Null texts count as empty. A text shorter than the window keeps all its words. Of rows that are repeated, all lose the
 windows they share: nothing is kept as a first copy, as windows are judged on the input. Whatever the order of the
-rows, results are the same. Other columns are ignored.
+rows, results are the same. Texts of any length are read whole, each in one task; an empty table gives an empty result.
+Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from siftwell.plans.staging import partitions_for
 
 WINDOW = 35
 CHUNK_BYTES = 8 << 20
+#: Chunks' worth of texts whose windows one bucket holds.
+BUCKETS_EACH = 4
 SENT = "bucket int, chunk int, held binary"
 BACK = "chunk int, held binary"
 
@@ -57,7 +61,7 @@ def by_bucket(values: np.ndarray, n: int) -> Iterator[tuple[int, int, int]]:
     """Bucket and range of each bucket that has some of the sorted values; buckets are equal ranges of their upper halves."""
     bucket = ((values >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
     starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), dtype=bool), bucket[1:] != bucket[:-1])))
-    yield from zip(bucket[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(values)], strict=True)
+    yield from zip(bucket[starts].tolist(), starts.tolist(), [*starts.tolist(), len(values)][1:], strict=True)
 
 
 def _batch(schema: str, rows: list[tuple]) -> pa.Table:
@@ -235,13 +239,13 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
     if window < 2:
         raise ValueError("a window has two words or more")
     block = (window + 1) // 2
-    n = partitions_for(docs, chunk_bytes)
+    n, buckets = partitions_for(docs, chunk_bytes), partitions_for(docs, BUCKETS_EACH * chunk_bytes)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     dealt = slim.select(F.pmod(row_key(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text")
     wide = "bucket int, chunk int, held binary, second binary, more binary"
-    sent = dealt.groupBy("chunk").applyInArrow(lambda t: probes(t, block, n), SENT)
+    sent = dealt.groupBy("chunk").applyInArrow(lambda t: probes(t, block, buckets), SENT)
     found = sent.groupBy("bucket").applyInArrow(hits, BACK)
-    asked = dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(lambda t, r: extend(t, r, window, block, n), wide)
+    asked = dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(lambda t, r: extend(t, r, window, block, buckets), wide)
     answered = asked.groupBy("bucket").applyInArrow(shared, "chunk int, held binary, second binary")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, repeats string" + (", kept_text string" if with_text else "")
 
