@@ -16,9 +16,10 @@ windows. All other cutoffs are chosen on a labelled holdout:
 
 Counting needs no exchange of texts. Only histograms (stratum, measure, rung) are aggregated; labels join on ids.
 
-Null texts count as empty (they fail the fixed rule), null languages are a stratum. A document that labels call good
-and bad counts as good only if all its labels do. Repeated rows are judged alike; extra columns are ignored by
-``judge`` and kept by ``accepted``.
+Null texts count as empty (they fail the fixed rule); null languages are a stratum of their own, apart from empty ones. A
+document that labels call good and bad counts as good only if all its labels do. Repeated rows are judged alike, and texts
+that occur several times in a stratum are one trial. Texts of any length are counted whole; an empty table gives an empty
+result. Extra columns are ignored by ``judge`` and kept by ``accepted``, whatever their names.
 """
 
 from __future__ import annotations
@@ -106,14 +107,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, row_key, stratum, the counts, base_failed and the measures of each row."""
+    """doc_id, row_key, text_key, stratum, the counts, base_failed and the measures of each row."""
     slim = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         row_key(F.col(id_col), F.col(text_col), F.col(stratum_col)).alias("row_key"),
-        F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
+        F.xxhash64(text_or_empty(text_col)).alias("text_key"),
+        F.col(stratum_col).cast("string").alias("stratum"),
         text_or_empty(text_col).alias("text"),
     )
-    schema = "doc_id long, row_key long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)
+    schema = "doc_id long, row_key long, text_key long, stratum string, " + ", ".join(f"{c} long" for c in COUNTS)
     words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
     return slim.mapInArrow(_counted, schema).withColumns(
         {
@@ -157,7 +159,9 @@ def thresholds(measured: DataFrame, labels: DataFrame, risk: float = RISK, delta
     good = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality")).where("quality = 1")
     held = measured.where(~F.col("base_failed")).join(good.select("doc_id"), "doc_id", "left_semi")
     above = [F.sum((F.col(m) >= rung).cast("long")).alias(f"{m}_{k}") for m in MEASURES for k, rung in enumerate(ladder(m))]
-    found = held.groupBy("stratum").agg(F.count("*").alias("n"), *above)
+    # A text that occurs several times is one trial.
+    once = held.groupBy("stratum", "text_key").agg(*[F.first(m).alias(m) for m in MEASURES])
+    found = once.groupBy("stratum").agg(F.count("*").alias("n"), *above)
     table_ = stage(found, "holdout")
     tests = max(1, table_.count()) * len(MEASURES)
 
@@ -175,7 +179,8 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float =
     """The counts of each row, base_failed, kept, and the measures that rejected it."""
     measured = stage(measure(docs, **columns), "measured")
     limits = thresholds(measured, labels, risk, delta)
-    judged = measured.join(limits, "stratum", "left")
+    limits = limits.withColumnRenamed("stratum", "of_stratum")
+    judged = measured.join(limits, F.col("stratum").eqNullSafe(F.col("of_stratum")), "left")
     bad = F.array_compact(F.array(*[F.when(F.col(m) >= F.col(f"max_{m}"), F.lit(m)) for m in MEASURES]))
     judged = judged.withColumn("rejected_by", F.array_join(bad, ","))
     return judged.select("doc_id", "row_key", "stratum", *COUNTS, "base_failed", (~F.col("base_failed") & (F.col("rejected_by") == "")).alias("kept"), "rejected_by")
