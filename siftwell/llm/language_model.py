@@ -6,7 +6,7 @@ logarithm; the second is exact. Each text begins in a start context and ends in
 
 Neither vocabulary nor n-grams are ever in one place:
 
-1. Rows are dealt into chunks by a hash. A chunk sends its distinct words with their training counts to the words'
+1. Rows are dealt into chunks by a hash of their place and id, so that rows that are all the same are dealt apart. A chunk sends its distinct words with their training counts to the words'
    buckets, of which there are a quarter as many as chunks; a bucket sums, numbers its training words, and answers each
    chunk that asked with counts and numbers. Totals are summed over buckets and sent to each chunk once.
 2. A chunk sends its distinct bigrams of known words to the bigrams' shards, by context. A frequent context is cut into
@@ -315,7 +315,7 @@ def score_texts(docs: DataFrame, smoothing: float = SMOOTHING, chunk_bytes: int
     n, parts = partitions_for(docs, chunk_bytes), partitions_for(docs, BUCKETS_EACH * chunk_bytes)
     held_out = F.coalesce(F.crc32(F.col(id_col).cast("string")) % FOLDS == HELD_FOLD, F.lit(False))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), text_or_empty(text_col).alias("text"))
-    dealt = slim.select(F.pmod(row_key(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "held_out", "text")
+    dealt = slim.select(F.pmod(row_key(F.monotonically_increasing_id(), F.col("doc_id")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "held_out", "text")
     asked = dealt.groupBy("chunk").applyInArrow(lambda t: ask_words(t, parts), MESSAGE)
     words = asked.groupBy("part").applyInArrow(answer_words, MESSAGE)
     sums = asked.groupBy("part").applyInArrow(bucket_totals, "n long, v long").agg(F.sum("n").alias("total"), F.sum("v").alias("v")).where("total IS NOT NULL")

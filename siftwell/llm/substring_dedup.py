@@ -4,7 +4,7 @@ Every document is cut into non-overlapping blocks of B words, the anchors; with
 whole block of its own document, so of two equal windows each meets an anchor of the other among its rolling B-word
 windows. The steps:
 
-1. Rows are dealt into chunks by a hash. A chunk's task hashes every rolling B-word window of its texts and sends each
+1. Rows are dealt into chunks by a hash of their place and id, so that rows that are all the same are dealt apart. A chunk's task hashes every rolling B-word window of its texts and sends each
    distinct hash once to the hash's bucket, with two flags: it is an anchor here; it occurs here more than once.
 2. A bucket indexes the anchors and probes them with all rolling windows. A hash that has an anchor and occurs at least
    twice is a hit, and is returned to the chunks that sent it.
@@ -241,7 +241,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
     block = (window + 1) // 2
     n, buckets = partitions_for(docs, chunk_bytes), partitions_for(docs, BUCKETS_EACH * chunk_bytes)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    dealt = slim.select(F.pmod(row_key(F.col("doc_id"), F.col("text")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text")
+    dealt = slim.select(F.pmod(row_key(F.monotonically_increasing_id(), F.col("doc_id")), F.lit(n)).cast("int").alias("chunk"), "doc_id", "text")
     wide = "bucket int, chunk int, held binary, second binary, more binary"
     sent = dealt.groupBy("chunk").applyInArrow(lambda t: probes(t, block, buckets), SENT)
     found = sent.groupBy("bucket").applyInArrow(hits, BACK)

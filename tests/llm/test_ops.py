@@ -92,6 +92,14 @@ def test_substring_dedup(docs, none):
     assert substring_dedup.dedup_substrings(none).count() == 0
 
 
+def test_rows_that_are_all_the_same_are_dealt_apart(spark):
+    rows = spark.createDataFrame([(None, SHARED)] * 300, "doc_id long, text string").repartition(3)
+    cut = substring_dedup.dedup_substrings(rows, chunk_bytes=2000).collect()
+    assert len(cut) == 300 and all(r["n_removed"] == r["n_words"] == 60 for r in cut)
+    scored = language_model.score_texts(rows, chunk_bytes=2000).collect()
+    assert len(scored) == 300 and len({(r["train_tokens"], round(r["score"], 9)) for r in scored}) == 1 and scored[0]["train_tokens"] == 300 * 61
+
+
 def test_quality_classifier(docs, none, labels):
     got = quality_classifier.classify(docs, labels).collect()
     assert len(got) == len(ROWS) and all(0 <= r["posterior"] <= 1 for r in got)
