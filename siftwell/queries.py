@@ -6,15 +6,20 @@ review decisions. Stand-in columns are deterministic expressions over keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.config import Section, section
+from siftwell.functions import imaging
 from siftwell.functions.scalars import sampled, stable_id
 from siftwell.operators import cluster, decide, export, ingest, prelabel, quality, review, vectors
-from siftwell.plans.staging import stage
+from siftwell.plans.staging import shared_dir, stage
+from siftwell.sources import readers
 
 LABELS, HIGH_RISK, RUN, DATASET, NEAR, TOP_K, FINAL_K = ("product", "defect", "unknown"), ("defect",), "run", "demo", 0.4, 20, 10
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -240,6 +245,48 @@ def manifest_build(spark: SparkSession, d: str) -> DataFrame:
     return _read(spark, d, "pages").select(F.col("url").alias("uri"), stable_id(DATASET, F.col("url"), none).alias("image_id"), F.octet_length("html").cast("long").alias("file_size"), F.sha2("html", 256).alias("content_hash"))
 
 
+_PLACE = "row_number() OVER (ORDER BY {0}) - 1 AS row_index"
+
+
+def _written(rows: DataFrame, key: str, label: str) -> str:
+    """A folder of text files in the shared folder that have the rows' lines in order of their key."""
+    path = f"{shared_dir(rows.sparkSession)}/siftwell/{label}-{uuid.uuid4().hex}"
+    rows.repartitionByRange(key).sortWithinPartitions(key).select("line").write.text(path)
+    return path
+
+
+@_query(f"SELECT {_PLACE.format('page_id')}, url AS uri, substr(sha1('demo:' || url), 1, 16) AS image_id, page_id % 7 AS part FROM pages")
+def manifest_source(spark: SparkSession, d: str) -> DataFrame:
+    rows = _read(spark, d, "pages").select("page_id", F.to_json(F.struct(F.col("url").alias("uri"), F.struct((F.col("page_id") % 7).alias("part")).alias("metadata"))).alias("line"))
+    found = ingest.manifest_rows(readers.manifest(spark, _written(rows, "page_id", "manifest")), DATASET)[0]
+    return found.select("row_index", "uri", "image_id", F.get_json_object("metadata", "$.part").cast("long").alias("part"))
+
+
+@_query(f"SELECT {_PLACE.format('doc_id')}, 'file:///data/a%20b/' || doc_id || '.png' AS uri, '/data/a b/' || doc_id || '.png' AS local_path, row_number() OVER (ORDER BY doc_id) AS line FROM documents")
+def path_list_source(spark: SparkSession, d: str) -> DataFrame:
+    path = F.concat(F.when(F.col("doc_id") % 2 == 0, "/data/a b/").otherwise("file:///data/a%20b/"), "doc_id", F.lit(".png"))
+    found = readers.path_list(spark, _written(_read(spark, d, "documents").select("doc_id", path.alias("line")), "doc_id", "paths"))
+    return found.select("row_index", "uri", "local_path", F.get_json_object("metadata", "$.path_list_line").cast("long").alias("line"))
+
+
+@_query("SELECT vec_id AS row_index, 64 AS width, 48 AS height, 'PNG' AS format, abs(vec_id % 200 - label * 20 % 256) / 2.0 AS channel_stddev FROM embeddings")
+def image_features(spark: SparkSession, d: str) -> DataFrame:
+    """Of generated images: the left half has one level of grey, the right half another."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                pixels = np.full((48, 64, 3), a, dtype=np.uint8)
+                pixels[:, 32:] = b
+                made.append(imaging.encode_png(pixels))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["row_index", "content"])
+
+    rows = _read(spark, d, "embeddings").select(F.col("vec_id").alias("row_index"), F.col("vec_id") % 200, F.col("label") * 20 % 256)
+    made = rows.mapInArrow(draw, "row_index long, content binary").withColumn("f", imaging.features("content"))
+    return made.select("row_index", "f.width", "f.height", "f.format", F.round("f.channel_stddev", 6).alias("channel_stddev"))
+
+
 @_query("SELECT row_index, image_id, uri FROM ranked WHERE k = 1", "ranked")
 def ingest_dedup(spark: SparkSession, d: str) -> DataFrame:
     return ingest.first_by_uri(_document_rows(spark, d))[0].select("row_index", "image_id", "uri")

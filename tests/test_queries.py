@@ -27,3 +27,10 @@ def test_query(spark, sql, name):
     assert sorted(expected.columns) == columns
     rows = lambda found, names: sorted((tuple(r[names.index(c)] for c in columns) for r in found), key=repr)
     assert rows(made.collect(), made.columns) == rows(expected.fetchall(), expected.columns)
+
+
+def test_order_of_the_queue(spark, sql):
+    for name, order in (("review_queue", "ORDER BY priority, image_id"), ("review_page", "")):
+        found = [(r["priority"], r["image_id"]) for r in QUERIES[name](spark, str(DATA)).collect()]
+        expected = sql.sql(f"SELECT priority, image_id FROM ({ORACLES[name]}) {order}").fetchall()
+        assert found == sorted(expected) and len(found) > 10
