@@ -55,6 +55,17 @@ SENTENCES = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
         "neither the name of the nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     ),
+    "bsd-source": ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",),
+    "bsd-binary": (
+        "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    ),
+    "bsd-advert": ("all advertising materials mentioning features or use of this software must display the following acknowledgement",),
+    "zlib-ref": ("this software is provided as is without any express or implied warranty", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    "zlib-grant": ("permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",),
+    "unlicense-ref": ("this is free and unencumbered software released into the public domain",),
+    "boost-ref": ("boost software license version 1 0", "distributed under the boost software license version 1 0", "use modification and distribution are subject to the boost software license version 1 0"),
+    "epl-2.0-ref": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at", "this program and the accompanying materials are made available under the terms of the eclipse public license v2 0"),
+    "cc0-ref": ("this work is dedicated to the public domain under cc0 1 0", "licensed under cc0 1 0", "released under cc0 1 0"),
     "mpl-2.0-ref": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
 }
 #: The GNU licences' names, short names and versions; their headers differ in these alone.
@@ -82,6 +93,17 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4.0-ref",)),
     ("ISC", ("isc-grant",)),
     ("MPL-2.0", ("mpl-2.0-ref",)),
+    ("BSD-4-Clause", ("all-rights", "bsd-ref", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse")),
+    ("BSD-4-Clause", ("bsd-ref", "bsd-source", "bsd-binary", "bsd-advert", "bsd-endorse")),
+    ("BSD-3-Clause", ("all-rights", "bsd-ref", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-3-Clause", ("bsd-ref", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("BSD-2-Clause", ("all-rights", "bsd-ref", "bsd-source", "bsd-binary")),
+    ("BSD-2-Clause", ("bsd-ref", "bsd-source", "bsd-binary")),
+    ("Zlib", ("zlib-grant",)),
+    ("Unlicense", ("unlicense-ref",)),
+    ("BSL-1.0", ("boost-ref",)),
+    ("EPL-2.0", ("epl-2.0-ref",)),
+    ("CC0-1.0", ("cc0-ref",)),
     ("BSD", ("all-rights", "bsd-ref")),
     ("BSD", ("bsd-ref",)),
     ("BSD", ("bsd-endorse",)),
@@ -117,7 +139,7 @@ for _x in SPDX:
     _old = {f"{_x[: -len(e)]}" for e in ("-only",) if _x.endswith(e)}
     _add(f"spdx-{_x.lower()}", _x, *(f"spdx license identifier {_normal(y)}" for y in (_x, *_old)))
 #: Every known sentence has one of these.
-HINT = "(?i)licen[sc]e|rights reserved|cc by|permission|redistribut|any later version|be used to endorse"
+HINT = "(?i)licen[sc]e|rights reserved|cc by|cc0|permission|redistribut|any later version|be used to endorse|provided.{1,4}as.is|advertising materials|public domain"
 MAX_GAP = 3
 #: What begins a comment's line or ends the comment: marks with white space or nothing after them, or a word.
 _LEADER = r"(?m)^[ \t]*(?:[^\w\s(\[\"'@]+(?=\s|$)|(?:REM|dnl|C)(?=[ \t]|$))[ \t]*|[ \t\r]*(?:\*+/|--+>)?[ \t\r]*$"
