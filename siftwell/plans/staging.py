@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UNKNOWN = 1 << 56
+#: Bytes that a task buffers before it writes them.
+BLOCK_BYTES = 32 << 20
 _STAGED: list[tuple[SparkSession, str]] = []
 _SCRATCH: ContextVar[tuple[list[tuple[SparkSession, str]], ...]] = ContextVar("scratch", default=())
 
@@ -41,7 +43,7 @@ def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/siftwell/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
     around = _SCRATCH.get()[: -1 if keep else None]
     if around:
         around[-1].append((spark, path))
