@@ -29,6 +29,7 @@ import heapq
 import json
 import zlib
 from collections.abc import Iterator, Mapping
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -48,7 +49,6 @@ WINDOW = 2048
 QUANTUM = 64
 END_ID = 1
 LANE_TOKENS = 1 << 20
-_ENCODERS: dict = {}
 #: Fixed value: how byte-level tokenizers cut texts before merging.
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -60,14 +60,26 @@ class Encoder:
     time; any other tokenizer, and any text that holds the string of an added token, is run by ``tokenizers`` itself.
     """
 
-    def __init__(self, json_text: str, fast: bool = True) -> None:
-        self.tokenizer = Tokenizer.from_str(json_text)
+    def __init__(self, json_text: str) -> None:
         spec = json.loads(json_text)
+        self.json_text = json_text
         self.added = [x["content"] for x in spec.get("added_tokens", [])]
-        self.ranked = self._ranked(spec) if fast else None
+        self.ranks = self._ranks(spec)
+
+    @cached_property
+    def tokenizer(self) -> Tokenizer:
+        return Tokenizer.from_str(self.json_text)
+
+    @cached_property
+    def ranked(self) -> tiktoken.Encoding | None:
+        return self.ranks and tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=self.ranks, special_tokens={})
+
+    def __reduce__(self) -> tuple:
+        """What is sent has the ranks made, so that a worker holds no parsed file, and makes either tokenizer when it needs it."""
+        return _encoder_of, (self.json_text, self.added, self.ranks)
 
     @staticmethod
-    def _ranked(spec: dict) -> tiktoken.Encoding | None:
+    def _ranks(spec: dict) -> dict[bytes, int] | None:
         before, model = spec.get("pre_tokenizer") or {}, spec["model"]
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         if spec.get("normalizer") or model["type"] != "BPE" or any(before.get(k) != v for k, v in plain.items()):
@@ -82,8 +94,7 @@ class Encoder:
         hidden = [b for b in range(256) if b not in shown]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
         added = {x["content"] for x in spec.get("added_tokens", [])}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in added}
-        return tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if token not in added}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Unsigned 32-bit ids of each text."""
@@ -92,25 +103,23 @@ class Encoder:
         return [np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def encoder(json_text: str) -> Encoder:
-    """One for each worker process."""
-    key = zlib.crc32(json_text.encode())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(json_text)
-    return _ENCODERS[key]
+def _encoder_of(json_text: str, added: list[str], ranks: dict[bytes, int] | None) -> Encoder:
+    made = Encoder.__new__(Encoder)
+    made.json_text, made.added, made.ranks = json_text, added, ranks
+    return made
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, source, task, before (tokens of the source earlier in the task), n_tokens, held (compressed ids)."""
-    sent = docs.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text(encoding="utf-8"))
+    sent = docs.sparkSession.sparkContext.broadcast(Encoder(Path(tokenizer_path).read_text(encoding="utf-8")))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), text_or_empty(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, task, served = encoder(sent.value), TaskContext.get().partitionId(), {}
+        own, task, served = sent.value, TaskContext.get().partitionId(), {}
         end, press = np.array([end_id], dtype=np.uint32), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 ids = [np.concatenate((x, end)) for x in own.encode(part.column(2).to_pylist())]
                 before = []
                 for source, x in zip(part.column(1).to_pylist(), ids, strict=True):
