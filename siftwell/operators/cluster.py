@@ -18,12 +18,18 @@ def cluster_count(n: int, configured: int | str) -> int:
     return max(1, min(n, wanted))
 
 
-def kmeans(items: DataFrame, k: int, max_iter: int = 100, seed: int = 42) -> DataFrame:
-    """items with cluster (int) and centroid; one cluster has the mean of all."""
+def kmeans(items: DataFrame, k: int, max_iter: int = 100, seed: int = 42, fit_rows: int | None = None) -> DataFrame:
+    """items with cluster (int) and centroid; one cluster has the mean of all.
+
+    With ``fit_rows`` the centres are fitted on about so many items, taken by a hash of their ids, as mini-batches would see;
+    every item is assigned. Centres are sent to executors: k vectors, of which ``cluster_count`` allows 10,000 by itself.
+    """
     if k <= 1:
         return items.withColumn("cluster", F.lit(0)).join(F.broadcast(centroids(items.withColumn("cluster", F.lit(0)))), "cluster")
     ready = items.withColumn("features", array_to_vector("embedding"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(ready.repartitionByRange("row_index").sortWithinPartitions("row_index"))
+    n = ready.count() if fit_rows else 0
+    some = ready.where(F.pmod(F.xxhash64("image_id", F.lit(5)), F.lit(1 << 30)) < int((1 << 30) * fit_rows / n)) if fit_rows and n > fit_rows else ready
+    model = KMeans(k=k, seed=seed, maxIter=max_iter).fit(some.repartitionByRange("row_index").sortWithinPartitions("row_index"))
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centers = items.sparkSession.createDataFrame(rows, "cluster int, centroid array<double>")
     return model.transform(ready).withColumnRenamed("prediction", "cluster").drop("features").join(F.broadcast(centers), "cluster")

@@ -37,26 +37,32 @@ def normalized(items: DataFrame, enabled: bool = True) -> DataFrame:
 
 
 def top_k(
-    items: DataFrame, k: int, method: str = "auto", tile_rows: int = TILE_ROWS, lists: int | None = None, probes: int = 8, seed: int = 42, recall: float = 0.95, exact_items: int = EXACT_ITEMS
+    items: DataFrame, k: int, method: str = "auto", tile_rows: int = TILE_ROWS, lists: int | None = None, probes: int = 8, seed: int = 42, recall: float = 0.95, exact_items: int = EXACT_ITEMS, around: np.ndarray | None = None
 ) -> DataFrame:
     """(image_id, neighbor_id, score, rank): the k items with the largest inner product, the item itself included.
 
     ``exact`` multiplies every tile with every other: quadratic work, as exactness needs, with a running best k for each
     tile's rows. ``ivf`` compares only items of the nearest of ``lists`` lists (by default the square root of their
     number): ``probes``, or as many more as a hashed sample of items needs to find the share ``recall`` of its exact
-    neighbours. ``auto`` is exact up to ``exact_items`` items, else ivf.
+    neighbours; ``around`` are centres that were fitted before. ``auto`` is exact up to ``exact_items`` items, else ivf.
     """
     if method not in ("auto", "exact", "ivf"):
         raise ValueError("method is auto, exact or ivf")
-    if method == "auto" or (method == "ivf" and lists is None):
-        n = items.count()
-        method = ("exact" if n <= exact_items else "ivf") if method == "auto" else method
-        lists = lists or max(1, math.isqrt(n))
-    if method == "ivf":
-        return _merge(_ivf(items, k, lists, probes, seed, recall, tile_rows), k)
+    if chosen(items, method, exact_items) == "ivf":
+        around = centres(items, lists or list_count(items.count()), seed) if around is None else around
+        return _merge(_ivf(items, k, around, probes, recall, tile_rows), k)
     return _exact(items, k, tile_rows)
 
 
+def chosen(items: DataFrame, method: str, exact_items: int = EXACT_ITEMS) -> str:
+    """The method that ``auto`` stands for."""
+    return method if method != "auto" else "exact" if items.count() <= exact_items else "ivf"
+
+
+def list_count(n: int) -> int:
+    return max(1, math.isqrt(n))
+
+
 def _packed(rows: pa.Table) -> tuple[bytes, bytes, bytes]:
     """Ids, row indexes and vectors of some rows, in the order of their row indexes."""
     rows = rows.sort_by("row_index")
@@ -138,9 +144,8 @@ def centres(items: DataFrame, lists: int, seed: int = 42) -> np.ndarray:
     return np.array(KMeans(k=lists, seed=seed, maxIter=10).fit(sample.select(array_to_vector("embedding").alias("features"))).clusterCenters())
 
 
-def _ivf(items: DataFrame, k: int, lists: int, probes: int, seed: int, recall: float, tile_rows: int) -> DataFrame:
+def _ivf(items: DataFrame, k: int, around: np.ndarray, probes: int, recall: float, tile_rows: int) -> DataFrame:
     """Scores of each item against the lists it probes; lists and their queries are cut into tiles, so none is one task's."""
-    around = centres(items, lists, seed)
     n = min(max(probes, _probes_for(items, around, k, recall)), len(around))
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,11 +217,20 @@ def duplicate_edges(neighbors: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def duplicate_groups(items: DataFrame, edges: DataFrame) -> DataFrame:
-    """duplicate_group_id, image_ids, size, max_similarity; numbered among all components, single items included, by first member."""
+def duplicate_members(items: DataFrame, edges: DataFrame) -> DataFrame:
+    """duplicate_group_id, image_id, component of each member of a group; numbered among all components, single items included, by first member."""
     labels = connected_components(edges, "left_id", "right_id").withColumnRenamed("node", "image_id")
     members = items.select("image_id", "row_index").join(labels, "image_id", "left").withColumn("component", F.coalesce("component", "image_id"))
-    groups = members.groupBy("component").agg(F.min("row_index").alias("first_index"), F.count("*").alias("size"), F.sort_array(F.collect_list("image_id")).alias("image_ids"))
-    best = edges.join(labels.withColumnRenamed("image_id", "left_id"), "left_id").groupBy("component").agg(F.greatest(F.max("score"), F.lit(0.0)).alias("max_similarity"))
-    found = numbered(groups, ["first_index"], "number").where("size > 1").join(best, "component")
-    return found.select(F.format_string("dup_%05d", "number").alias("duplicate_group_id"), "image_ids", F.col("size").cast("int").alias("size"), "max_similarity")
+    sizes = members.groupBy("component").agg(F.min("row_index").alias("first_index"), F.count("*").alias("size"))
+    named = numbered(sizes, ["first_index"], "number").where("size > 1").select("component", F.format_string("dup_%05d", "number").alias("duplicate_group_id"))
+    return members.join(named, "component").select("duplicate_group_id", "image_id", "component")
+
+
+def duplicate_groups(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """duplicate_group_id, image_ids, size, max_similarity of the groups of ``duplicate_members``.
+
+    A row holds all of a group's ids, as an export wants it; whatever goes on works on the members' rows.
+    """
+    groups = members.groupBy("duplicate_group_id", "component").agg(F.count("*").cast("int").alias("size"), F.sort_array(F.collect_list("image_id")).alias("image_ids"))
+    best = edges.join(members.select(F.col("image_id").alias("left_id"), "component"), "left_id").groupBy("component").agg(F.greatest(F.max("score"), F.lit(0.0)).alias("max_similarity"))
+    return groups.join(best, "component").select("duplicate_group_id", "image_ids", "size", "max_similarity")

@@ -186,8 +186,13 @@ def _neighbors(spark: SparkSession, d: str) -> DataFrame:
     return vectors.rerank(_candidates(spark, d), FINAL_K)
 
 
+def _near(spark: SparkSession, d: str) -> DataFrame:
+    return stage(vectors.duplicate_edges(_neighbors(spark, d), NEAR), "near")
+
+
 def _groups(spark: SparkSession, d: str) -> DataFrame:
-    return stage(vectors.duplicate_groups(_items(spark, d), stage(vectors.duplicate_edges(_neighbors(spark, d), NEAR), "near")), "groups")
+    """Members of groups."""
+    return stage(vectors.duplicate_members(_items(spark, d), _near(spark, d)), "members")
 
 
 def _assigned(spark: SparkSession, d: str) -> DataFrame:
@@ -363,7 +368,9 @@ def duplicate_edges(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("SELECT g AS duplicate_group_id, array_to_string(ids, ',') AS image_ids, size::INT AS size, round(score, 6) AS max_similarity FROM groups", "groups")
 def duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
-    return _groups(spark, d).withColumn("image_ids", F.array_join("image_ids", ",")).withColumn("max_similarity", F.round("max_similarity", 6))
+    near = _near(spark, d)
+    groups = vectors.duplicate_groups(stage(vectors.duplicate_members(_items(spark, d), near), "members"), near)
+    return groups.withColumn("image_ids", F.array_join("image_ids", ",")).withColumn("max_similarity", F.round("max_similarity", 6))
 
 
 @_query("SELECT label AS cluster, i - 1 AS i, round(m[i], 6) AS x FROM cen, range(1, 65) t(i)", "cen")

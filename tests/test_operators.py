@@ -168,6 +168,8 @@ def _config(tmp_path, **runtime):
             "quality": {"min_file_size_bytes": 10, "blur": {"enabled": False}, "low_information": {"enabled": False}},
             "label_schema": {"schema_id": "s", "labels": [{"id": "product", "name": "P"}, {"id": "defect", "name": "D", "high_risk": True}]},
             "review": {"sampling": {"auto_accept_qa_ratio": 1.0}},
+            # Ids follow from the test's folder, and the mock's confidences from ids: none may be accepted by itself.
+            "auto_decision": {"min_confidence": 0.99},
             "clustering": {"num_clusters": 2},
             "runtime": runtime,
         }
