@@ -16,9 +16,10 @@ The benchmark is the query set. It is read in blocks of at most ``block_items``
 item is a block of its own), the documents once per block, so what is sent to executors has a bound that does not depend
 on the tables.
 
-Null or empty texts, and items without words, match nothing. Repeated document rows give repeated result rows; an item
-id that occurs with several texts is searched for with each. A null id stays null in the result. Extra columns of either
-table are ignored.
+Null or empty texts, and items without words, match nothing; empty tables give an empty result (or all documents).
+Repeated document rows give repeated result rows; an item id that occurs with several texts is searched for with each. A
+null id stays null in the result. Extra columns of either table are ignored by ``contaminated`` and kept by
+``decontaminate``, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwell.llm import words as W
-from siftwell.llm.tables import fresh, table, text_or_empty
+from siftwell.llm.tables import fresh, row_key, table, text_or_empty
+from siftwell.plans.staging import stage
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -152,10 +154,15 @@ def contaminated(
     text_col: str = "text",
 ) -> DataFrame:
     """A row for each document row and item that it contains: doc_id, item_id, n_shingles, n_found, containment."""
+    return _found(docs, benchmark, threshold, shingle_words, block_items, block_bytes, id_col, text_col).drop("row_key")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, shingle_words: int, block_items: int, block_bytes: int, id_col: str, text_col: str) -> DataFrame:
+    """What ``contaminated`` returns, with the row's hash of id and text."""
     spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), row_key(F.col(id_col), text_or_empty(text_col)).alias("row_key"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    schema = "doc_id long, item_id long, n_shingles long, n_found long, containment double"
+    schema = "doc_id long, row_key long, item_id long, n_shingles long, n_found long, containment double"
     parts = []
     for block in _blocks(items, block_items, block_bytes):
         sent = spark.sparkContext.broadcast(Sketches(block, threshold, shingle_words))
@@ -163,18 +170,17 @@ def contaminated(
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sketches = sent.value
             for batch in batches:
-                ids = batch.column(0)
                 rows = list(sketches.matches(W.flat(batch.column(1))))
                 held = [sketches.items[i] for _, i, _ in rows]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.take(pa.array([d for d, _, _ in rows], pa.int64())),
+                        *(batch.column(c).take(pa.array([d for d, _, _ in rows], pa.int64())) for c in (0, 2)),
                         pa.array([x[0] for x in held], pa.int64()),
                         pa.array([len(x[1]) for x in held], pa.int64()),
                         pa.array([n for _, _, n in rows], pa.int64()),
                         pa.array([n / len(x[1]) for (_, _, n), x in zip(rows, held, strict=True)], pa.float64()),
                     ],
-                    names=["doc_id", "item_id", "n_shingles", "n_found", "containment"],
+                    names=["doc_id", "row_key", "item_id", "n_shingles", "n_found", "containment"],
                 )
 
         parts.append(slim.mapInArrow(search, schema))
@@ -201,14 +207,21 @@ def _blocks(items: DataFrame, most_items: int, most_bytes: int) -> Iterator[list
         yield block
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that contain no item, with the columns they had.
-
-    Rows are dropped by id; a row whose id is null is kept only if no row with a null id contains an item.
-    """
-    id_col = options.get("id_col", "doc_id")
-    hits = contaminated(docs, benchmark, **options).select(F.col("doc_id").alias(fresh(docs, "hit_id"))).distinct()
-    return docs.join(hits, docs[id_col].cast("long").eqNullSafe(hits[hits.columns[0]]), "left_anti")
+def decontaminate(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    threshold: float = THRESHOLD,
+    shingle_words: int = SHINGLE_WORDS,
+    block_items: int = BLOCK_ITEMS,
+    block_bytes: int = BLOCK_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The documents that contain no item, with the columns they had; rows that share an id are judged by their own texts."""
+    key = fresh(docs, "hit_key")
+    hits = _found(docs, benchmark, threshold, shingle_words, block_items, block_bytes, id_col, text_col).select(F.col("row_key").alias(key)).distinct()
+    # Staged first, so that the planner knows whether the hits are few enough to be sent.
+    return docs.withColumn(key, row_key(F.col(id_col), text_or_empty(text_col))).join(stage(hits, "hits"), key, "left_anti").select(*docs.columns)
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
