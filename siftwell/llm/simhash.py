@@ -7,15 +7,16 @@ A fingerprint's bit is 1 if it is set in over half the shingles' XXH64 hashes (s
 Distinct fingerprints, never rows, are joined: copies meet in the first aggregation, which keeps their smallest id. The
 trie is spread over tasks by its first levels: the 64 bits are cut into ``budget + agree`` blocks, of which two linked
 fingerprints share ``agree`` at least, so each fingerprint goes to one subtrie for each choice of ``agree`` blocks, in
-which these bits are error-free levels. ``agree`` grows with the number of fingerprints so that subtries stay small. A
-subtrie that holds more than ``split_rows`` is cut into parts by a salt and joined part by part, pairs of parts being
-tasks of their own. In a task, node pairs are walked down together, level by level and many subtries at a time; differing
+which these bits are error-free levels. ``agree`` grows with the number of fingerprints so that subtries stay small.
+Fingerprints of a subtrie that holds more than ``split_rows`` are routed again with a block more; where that does not part
+them either, the subtrie is cut by a salt and joined part by part, pairs of parts being tasks of their own. In a task, node pairs are walked down together, level by level and many subtries at a time; differing
 bits add up, a pair over the budget is pruned, and pairs of few leaves are settled by counting bits. A task returns a
 spanning forest of what it linked, not its pairs; components over the forests give the groups.
 
 Null texts count as empty; null ids take part, and a component's id is its smallest id that is not null. Repeated rows
-give repeated result rows. Extra columns are ignored by ``near_duplicates`` and
-``near_copies`` and kept by ``keep_one``, which takes five words and a verified similarity of 0.8.
+give repeated result rows. Texts of any length are read whole, each in one task; an empty table gives an empty result.
+Extra columns are ignored by ``near_duplicates`` and ``near_copies`` and kept by ``keep_one``, whatever their names, which
+takes five words and a verified similarity of 0.8.
 """
 
 from __future__ import annotations
@@ -41,6 +42,8 @@ BUDGET = 4
 SEED = 42
 SPLIT_ROWS = 8192
 SUBTRIE_ROWS = 64
+#: Agreeing blocks up to which crowded subtries are routed again.
+MOST_AGREE = 6
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LEAF_PAIRS = 16
 _FRONTIER = 1 << 20
@@ -188,20 +191,29 @@ def _routes(fp: Column, agree: int, budget: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(k), *[value[i] for i in chosen]) for k, chosen in enumerate(combinations(range(blocks), agree))])
 
 
-def links(fps: DataFrame, n: int, budget: int = BUDGET, split_rows: int = SPLIT_ROWS, agree: int | None = None) -> DataFrame:
-    """(src, dst): a forest that connects all of the distinct ``fp`` that links of at most ``budget`` bits connect."""
-    routed = fps.select(F.explode(_routes(F.col("fp"), agree or agreeing_blocks(n, budget), budget)).alias("at"), "fp")
+def links(fps: DataFrame, n: int, budget: int = BUDGET, split_rows: int = SPLIT_ROWS, agree: int | None = None, most_agree: int = MOST_AGREE) -> DataFrame:
+    """(src, dst): a forest that connects all of the distinct ``fp`` that links of at most ``budget`` bits connect.
+
+    Two linked fingerprints share a subtrie for any number of agreeing blocks, so the fingerprints of subtries that hold
+    more than ``split_rows`` are routed again with one block more, up to ``most_agree``; only then are subtries cut by a salt.
+    """
+    agree = agree or agreeing_blocks(n, budget)
+    routed = fps.select(F.explode(_routes(F.col("fp"), agree, budget)).alias("at"), "fp")
     large = stage(routed.groupBy("at").count().where(F.col("count") > split_rows).select("at", F.ceil(F.col("count") / split_rows).cast("int").alias("parts")), "subtries")
-    if not large.isEmpty():
-        salt = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int")
-        marked = routed.join(large, "at", "left").withColumn("salt", F.coalesce(salt, F.lit(0)))
-        other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("other")
-        pairs = marked.select("at", "fp", "salt", other)
-        routed = pairs.select(
-            F.xxhash64("at", F.least("salt", "other"), F.greatest("salt", "other")).alias("at"), "fp", (F.col("salt") > F.col("other")).cast("int").alias("part")
-        )
-    else:
-        routed = routed.withColumn("part", F.lit(0))
+    if large.isEmpty():
+        return _walked(routed.withColumn("part", F.lit(0)))
+    if agree < most_agree:
+        crowded = stage(routed.join(large.select("at"), "at", "left_semi").select("fp").distinct(), "crowded")
+        small = routed.join(large.select("at"), "at", "left_anti").withColumn("part", F.lit(0))
+        return _walked(small).unionByName(links(crowded, n, budget, split_rows, agree + 1, most_agree))
+    salt = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("parts")).cast("int")
+    marked = routed.join(large, "at", "left").withColumn("salt", F.coalesce(salt, F.lit(0)))
+    other = F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))).alias("other")
+    pairs = marked.select("at", "fp", "salt", other)
+    return _walked(pairs.select(F.xxhash64("at", F.least("salt", "other"), F.greatest("salt", "other")).alias("at"), "fp", (F.col("salt") > F.col("other")).cast("int").alias("part")))
+
+
+def _walked(routed: DataFrame) -> DataFrame:
     return routed.repartition(F.col("at")).sortWithinPartitions("at").mapInArrow(_join, "src long, dst long")
 
 
