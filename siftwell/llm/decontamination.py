@@ -167,6 +167,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, threshold: float, shingle_word
     for block in _blocks(items, block_items, block_bytes):
         sent = spark.sparkContext.broadcast(Sketches(block, threshold, shingle_words))
 
+        @W.frugal
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sketches = sent.value
             for batch in batches:

@@ -42,6 +42,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from siftwell.llm import words as W
 from siftwell.llm.tables import table, text_or_empty
 from siftwell.plans.staging import stage
 
@@ -114,6 +115,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, id_col:
     sent = docs.sparkSession.sparkContext.broadcast(Encoder(Path(tokenizer_path).read_text(encoding="utf-8")))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), text_or_empty(text_col).alias("text"))
 
+    @W.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task, served = sent.value, TaskContext.get().partitionId(), {}
         end, press = np.array([end_id], dtype=np.uint32), zstandard.ZstdCompressor(level=1)
@@ -248,7 +250,13 @@ def pack(
     lanes = cut(tokens.drop("held", "doc_id")).groupBy("lane").agg(F.sum("n_tokens").alias("n"))
     starts = _running(stage(lanes, "lanes"))
     joined = placed.join(starts, "lane")
-    return joined.groupBy("lane").applyInArrow(lambda t: _pack(t, window, quantum), PIECES)
+
+    def packed(rows: pa.Table) -> pa.Table:
+        out = _pack(rows, window, quantum)
+        W.release()
+        return out
+
+    return joined.groupBy("lane").applyInArrow(packed, PIECES)
 
 
 def _running(lanes: DataFrame, block: int = 4096) -> DataFrame:

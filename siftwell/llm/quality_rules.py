@@ -98,6 +98,7 @@ def _lines(words: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.bincount(doc[order], weights=again, minlength=n).astype(np.int64), np.bincount(doc, minlength=n)
 
 
+@W.frugal
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = counts(W.flat(batch.column("text")))

@@ -42,7 +42,7 @@ from siftwell.plans.staging import partitions_for, stage
 #: Share of all (shingle, set) rows from which on a shingle is sent beforehand, and the least number of its rows.
 HOT_SHARE, HOT_LEAST = 1e-6, 1 << 16
 #: Input bytes to each bucket of shingles, and shingles in a run that a task sends to them.
-BUCKET_BYTES, RUN_TOKENS = 8 << 20, 1 << 21
+BUCKET_BYTES, RUN_TOKENS = 8 << 20, 1 << 20
 #: Texts of a bucket that one block of a comparison has from each side.
 BLOCK_ROWS = 256
 MESSAGE = "bucket int, kind int, first binary, sets binary, places binary"
@@ -95,6 +95,7 @@ def sketched(texts: DataFrame, size: int, hot_share: float = HOT_SHARE) -> DataF
     Rows of kind 1 have a shingle as set and in n how many texts nearby have it, where this may make it a hot one.
     """
 
+    @W.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
         names = [x.split()[0] for x in SKETCHED.split(", ")]
@@ -151,8 +152,10 @@ class _Outbox:
     def close_run(self) -> None:
         if self.held:
             tokens, owners = np.concatenate(self.tokens), np.concatenate(self.owners)
+            self.tokens, self.owners = [], []
             order = np.argsort(tokens, kind="stable")
             tokens, owners = tokens[order], owners[order]
+            del order
             for bucket, lo, hi in by_bucket(tokens << np.uint64(16), self.n_buckets):
                 sets, places = np.unique(owners[lo:hi], return_inverse=True)
                 places = places.astype(np.uint16 if len(sets) <= 1 << 16 else np.uint32)
@@ -174,6 +177,7 @@ def _messages(texts: DataFrame, size: int, similarity: float, hot: np.ndarray, n
     sent = texts.sparkSession.sparkContext.broadcast(hot)
     four = np.uint64(4)
 
+    @W.frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Outbox(n_buckets)
         for batch in batches:
@@ -197,14 +201,17 @@ def _messages(texts: DataFrame, size: int, similarity: float, hot: np.ndarray, n
                     tokens, of = tokens[~is_hot], of[~is_hot]
                 out.add(tokens, sets[of])
                 if out.held >= RUN_TOKENS:
+                    del tokens, of
                     out.close_run()
                     yield out.take()
+                    W.release()
         out.close_run()
         yield out.take()
 
     return texts.select("text").mapInArrow(run, MESSAGE)
 
 
+@W.frugal
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """token, more, set, n_sets of the messages of each bucket, which follow one another; shingles of one set go."""
 
@@ -284,6 +291,7 @@ def resemblance(a: bytes, b: bytes) -> float:
 def verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
     """(src, dst): those of the distinct pairs whose whole sets are similar enough; ``held`` has (set, whole) once each."""
 
+    @W.frugal
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             like = [resemblance(x.as_buffer(), y.as_buffer()) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siftwell.llm import words as W
 from siftwell.llm.resemblance import similar_pairs, sketched
 from siftwell.llm.tables import fresh, row_key, table, text_or_empty
 from siftwell.operators.graph import connected_components
@@ -65,6 +66,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+@W.frugal
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], dtype=np.uint64)

@@ -7,8 +7,10 @@ bijective mixer; a window's hash comes from two prefix sums.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,25 @@ SLICE_BYTES = 1 << 21
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def release() -> None:
+    """Give memory that nothing holds any more back to the machine, as Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``run``, releasing what it held when its task ends."""
+
+    @wraps(run)
+    def wrapper(*arguments) -> Iterator[pa.RecordBatch]:
+        yield from run(*arguments)
+        release()
+
+    return wrapper
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
