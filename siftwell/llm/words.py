@@ -24,7 +24,8 @@ NOT_ALNUM = np.zeros(256, dtype=bool)
 NOT_ALNUM[:128] = [not chr(b).isalnum() for b in range(128)]
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-SLICE_BYTES = 1 << 21
+#: Bytes of a slice: with the place after the last, tables of powers have 2 ** 20 entries.
+SLICE_BYTES = (1 << 20) - 1
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
